@@ -53,6 +53,10 @@ def _ideal_gain(k: int, n: Column) -> Column:
     return F.element_at(table, (F.least(n, F.lit(k)) + 1).cast("int"))
 
 
+def _ranks_up_to(k: int) -> Column:
+    return F.size(F.filter("ranks", lambda r: r <= k))
+
+
 def _per_user(lists: DataFrame, truth: DataFrame, how: str, ks: Sequence[int]) -> DataFrame:
     """Per user: relevant items and, for each k, predicted, hits, gain and precision sum."""
     position = F.when(
@@ -70,7 +74,7 @@ def _per_user(lists: DataFrame, truth: DataFrame, how: str, ks: Sequence[int]) -
         aggs += [
             F.count_if(hit).alias(f"hits_{k}"),
             F.coalesce(F.sum(F.when(hit, gain)), F.lit(0.0)).alias(f"gain_{k}"),
-            F.max(F.size(F.filter("ranks", lambda r, k=k: r <= k))).alias(f"listed_{k}"),
+            F.max(_ranks_up_to(k)).alias(f"listed_{k}"),
         ]
     # The hit ranks of one user: at most max(ks) entries.
     aggs.append(F.sort_array(F.collect_list("rank")).alias("hit_ranks"))

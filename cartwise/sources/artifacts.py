@@ -72,6 +72,7 @@ def feature_count_of(file_name_column: str = "file_name"):
         .when(name.contains("5features"), 5)
         .when(name.contains("9features"), 9)
         .when(name.contains("tuned"), 13)
+        .cast("long")
     )
 
 
