@@ -42,7 +42,7 @@ def values_at_ranks(counts: DataFrame, ranks: Column, buckets: int = BUCKETS) ->
     ``ranks`` is an array expression over ``total``, the number of rows of the
     metric.
     """
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
     # One row per metric: the split points, an array of fixed length.
     splits = counts.groupBy("metric").agg(
         F.percentile_approx("value", cuts, F.lit(10 * buckets)).alias("splits")

@@ -143,13 +143,11 @@ def generate_candidates_from_cooc(
     """
     if rank_by not in ("count", "id"):
         raise ValueError(f"Unknown ranking: {rank_by}")
-    edges = cooccurrence.select(
-        F.col("itemA").alias("item_id"), F.col("itemB").alias("candidate"), "cooc_count"
-    ).unionByName(
-        cooccurrence.select(
-            F.col("itemB").alias("item_id"), F.col("itemA").alias("candidate"), "cooc_count"
-        )
+    both_ways = F.array(
+        F.struct(F.col("itemA").alias("item_id"), F.col("itemB").alias("candidate")),
+        F.struct(F.col("itemB").alias("item_id"), F.col("itemA").alias("candidate")),
     )
+    edges = cooccurrence.select("cooc_count", F.inline(both_ways))
     totals = (
         spread_join(
             customer_hist_items.select("customer_id", "item_id"),

@@ -49,7 +49,7 @@ def _ideal_gain(k: int, n: Column) -> Column:
     sums = [0.0]
     for r in range(1, k + 1):
         sums.append(sums[-1] + 1.0 / math.log2(r + 1))
-    table = F.array(*[F.lit(v) for v in sums])
+    table = F.expr(f"array({', '.join(f'{v!r}D' for v in sums)})")
     return F.element_at(table, (F.least(n, F.lit(k)) + 1).cast("int"))
 
 

@@ -2,7 +2,7 @@
 
 One row per customer (the *profile*) holds everything the features need: the
 behavioural figures X4..X13 and three small maps, attribute value -> number of
-purchases. The profile is built from two partial aggregations of the history.
+purchases. The profile comes from one aggregation of the history.
 Candidate pairs never shuffle for their features: they are unfolded from arrays
 of at most ``top_n + cap`` entries on the profile row, and X1..X3 are lookups in
 its maps.
@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise import config
-from cartwise.functions.expressions import iso_weekday, ts, whole_days
+from cartwise.functions.expressions import ts, whole_days
 from cartwise.operators.pools import (
     ATTRIBUTES,
     category_set,
     category_set_pools,
     fan_out_partitions,
     is_generated,
+    top_item_ids,
     unfold_pools,
 )
 from cartwise.operators.windows import time_window
@@ -32,14 +33,27 @@ from cartwise.sources.schemas import TS_COL
 POWER_USER_MORE_THAN = 13
 NEW_CUSTOMER_FEWER_THAN = 3
 
-# grouping_id() of the three grouping sets below: a bit is set for every
-# grouping column that is *not* in the set (customer, brand, age, category).
-_BY_BRAND, _BY_AGE, _BY_CATEGORY = 0b0011, 0b0101, 0b0110
+# What a customer's rows are counted by; each is one grouping set.
+_TIME = TS_COL
+ALL_GROUPINGS = (*ATTRIBUTES, _TIME)
 
 
 # --- customer level ---------------------------------------------------------
 
 
+def item_dimension(hist: DataFrame, items: DataFrame) -> DataFrame:
+    """Items of the history with their row count and attributes, written once.
+
+    It is as large as the catalogue. Being a stored table it has a known size:
+    Spark broadcasts it to the history if it is small and otherwise shuffles,
+    and never has to shuffle the history just to find out.
+    """
+    counts = hist.groupBy("item_id").agg(F.count(F.lit(1)).alias("popularity"))
+    return materialize(
+        counts.join(items.select("item_id", *ATTRIBUTES), "item_id", "left"), "item-dimension"
+    )
+
+
 def customer_activity(hist: DataFrame) -> DataFrame:
     """Per customer: rows, distinct purchase times, last time, rows per weekday.
 
@@ -47,66 +61,64 @@ def customer_activity(hist: DataFrame) -> DataFrame:
     time), so a customer with very many rows is combined before and spread over
     the shuffle.
     """
-    weekday = iso_weekday(F.col(TS_COL))
+    by_day = ", ".join(f"count_if(weekday({TS_COL}) = {d})" for d in range(7))
     return hist.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct(TS_COL).alias("n_times"),
         F.max(TS_COL).alias("last_time"),
-        F.array(*[F.count_if(weekday == d) for d in range(1, 8)]).alias("weekday_rows"),
+        F.expr(f"array({by_day})").alias("weekday_rows"),
     )
 
 
-def item_popularity(hist: DataFrame) -> DataFrame:
-    """Rows per item."""
-    return hist.groupBy("item_id").agg(F.count(F.lit(1)).alias("popularity"))
-
-
-def customer_affinity(
-    hist: DataFrame, items: DataFrame, with_popularity: bool = True
+def customer_profile(
+    hist: DataFrame, dimension: DataFrame, groupings: tuple[str, ...] = ALL_GROUPINGS
 ) -> DataFrame:
-    """Per customer: counts by brand, age group and category, and what follows from them.
-
-    The three groupings are one ``GROUPING SETS`` aggregate: the history is
-    joined to the items and combined map-side once. A null attribute is a group
-    of its own for the ratios and diversities, and absent from the lookup maps
-    because null never equals a candidate's attribute. The maps hold one entry
-    per distinct attribute value, however many rows a customer has.
+    """One row per customer: counts by brand, age group, category and purchase time,
+    and the figures that follow from them.
+
+    The groupings are the sets of one ``GROUPING SETS`` aggregate: the history is
+    read and joined to the items once, and combined map-side before its only
+    large shuffle. A null attribute is a group of its own for the ratios and
+    diversities, and absent from the lookup maps because null never equals a
+    candidate's attribute. The maps hold one entry per distinct attribute value,
+    however many rows a customer has. ``dimension`` is the item table, or
+    :func:`item_dimension` where the mean popularity is wanted.
     """
-    dim = items.select("item_id", *ATTRIBUTES)
-    if with_popularity:
-        dim = item_popularity(hist).join(dim, "item_id", "left")
-        weight = F.col("popularity").cast("double")
-    else:
-        weight = F.lit(None).cast("double")
-    enriched = (
-        hist.select("customer_id", "item_id")
-        .join(dim, "item_id", "left")
-        .withColumn("weight", weight)
-    )
-    counts = enriched.groupingSets(
-        [["customer_id", a] for a in ATTRIBUTES], "customer_id", *ATTRIBUTES
-    ).agg(
-        F.grouping_id().alias("grouping"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("weight").alias("weight"),
-    )
-
-    def entries(grouping: int, attribute: str) -> Column:
-        keep = (F.col("grouping") == grouping) & F.col(attribute).isNotNull()
-        return F.map_from_entries(F.collect_list(F.when(keep, F.struct(attribute, "n"))))
-
-    by_brand = F.col("grouping") == _BY_BRAND
-    by_category = F.col("grouping") == _BY_CATEGORY
-    return counts.groupBy("customer_id").agg(
-        entries(_BY_BRAND, "brand").alias("brand_rows"),
-        entries(_BY_AGE, "age_group").alias("age_group_rows"),
-        entries(_BY_CATEGORY, "category").alias("category_rows"),
-        F.max(F.when(by_brand, F.col("n"))).alias("top_brand_rows"),
-        F.count_if(by_brand).alias("n_brands"),
-        F.count_if(by_category).alias("n_categories"),
-        F.sum(F.when(by_category, F.col("n"))).alias("affinity_rows"),
-        F.sum(F.when(by_category, F.col("weight"))).alias("popularity_sum"),
+    attributes = [g for g in groupings if g != _TIME]
+    weighted = "popularity" in dimension.columns
+    looked_up = ["popularity"] if weighted else []
+    rows = hist.select("customer_id", "item_id", *[g for g in groupings if g == _TIME]).join(
+        dimension.select("item_id", *attributes, *looked_up), "item_id", "left"
     )
+    counted = [F.grouping_id().alias("grouping"), F.count(F.lit(1)).alias("n")]
+    if weighted:
+        counted.append(F.sum(F.col("popularity").cast("double")).alias("popularity"))
+    counts = rows.groupingSets(
+        [["customer_id", g] for g in groupings], "customer_id", *groupings
+    ).agg(*counted)
+
+    def of(grouping: str) -> str:
+        # grouping_id() has a bit set for every grouping column left out of a set.
+        place = len(groupings) - 1 - groupings.index(grouping)
+        return f"grouping = {(1 << len(groupings)) - 1 - (1 << place)}"
+
+    every_row = of(groupings[0])
+    figures = {"n_rows": f"sum(CASE WHEN {every_row} THEN n END)"}
+    if weighted:
+        figures["popularity_sum"] = f"sum(CASE WHEN {every_row} THEN popularity END)"
+    for a in attributes:
+        entry = f"CASE WHEN {of(a)} AND {a} IS NOT NULL THEN struct({a}, n) END"
+        figures[f"{a}_rows"] = f"map_from_entries(collect_list({entry}))"
+        figures[f"n_{a}"] = f"count_if({of(a)})"
+        figures[f"top_{a}_rows"] = f"max(CASE WHEN {of(a)} THEN n END)"
+    if _TIME in groupings:
+        on_day = f"CASE WHEN {of(_TIME)} AND weekday({_TIME}) = {{}} THEN n ELSE 0 END"
+        by_day = ", ".join(f"sum({on_day.format(d)})" for d in range(7))
+        figures["n_times"] = f"count_if({of(_TIME)})"
+        figures["last_time"] = f"max(CASE WHEN {of(_TIME)} THEN {_TIME} END)"
+        figures["weekday_rows"] = f"array({by_day})"
+    aggregates = [F.expr(sql).alias(name) for name, sql in figures.items()]
+    return counts.groupBy("customer_id").agg(*aggregates)
 
 
 def _x4(end_hist: datetime) -> Column:
@@ -130,15 +142,15 @@ def _x7() -> Column:
 
 
 def _x8() -> Column:
-    return (F.col("top_brand_rows") / F.col("affinity_rows")).alias("X8_top_brand_ratio")
+    return (F.col("top_brand_rows") / F.col("n_rows")).alias("X8_top_brand_ratio")
 
 
 def _x9() -> Column:
-    return F.col("n_brands").alias("X9_brand_diversity")
+    return F.col("n_brand").alias("X9_brand_diversity")
 
 
 def _x10() -> Column:
-    return (F.col("n_categories") / F.col("affinity_rows")).alias("X10_category_diversity_score")
+    return (F.col("n_category") / F.col("n_rows")).alias("X10_category_diversity_score")
 
 
 def _x11() -> Column:
@@ -152,7 +164,7 @@ def _x12() -> Column:
 
 
 def _x13() -> Column:
-    mean = F.col("popularity_sum") / F.col("affinity_rows")
+    mean = F.col("popularity_sum") / F.col("n_rows")
     return F.coalesce(mean, F.lit(0.0)).alias("X13_avg_item_popularity")
 
 
@@ -173,14 +185,12 @@ def monetary_features(hist: DataFrame) -> DataFrame:
 
 def brand_loyalty_features(hist: DataFrame, items: DataFrame) -> DataFrame:
     """X8 (share of the most bought brand) and X9 (number of brands)."""
-    affinity = customer_affinity(hist, items, with_popularity=False)
-    return affinity.select("customer_id", _x8(), _x9())
+    return customer_profile(hist, items, ("brand",)).select("customer_id", _x8(), _x9())
 
 
 def category_diversity_features(hist: DataFrame, items: DataFrame) -> DataFrame:
     """X10: number of categories over rows."""
-    affinity = customer_affinity(hist, items, with_popularity=False)
-    return affinity.select("customer_id", _x10())
+    return customer_profile(hist, items, ("category",)).select("customer_id", _x10())
 
 
 def temporal_features(hist: DataFrame) -> DataFrame:
@@ -190,13 +200,8 @@ def temporal_features(hist: DataFrame) -> DataFrame:
 
 def cold_start_features(hist: DataFrame, items: DataFrame) -> DataFrame:
     """X12 (fewer than 3 rows) and X13 (mean popularity of the bought items)."""
-    return customer_profile(hist, items).select("customer_id", _x12(), _x13())
-
-
-def customer_profile(hist: DataFrame, items: DataFrame) -> DataFrame:
-    """Activity and affinity side by side. Both are hash-partitioned on the
-    customer by their own final aggregate, so the join adds no shuffle."""
-    return customer_activity(hist).join(customer_affinity(hist, items), "customer_id")
+    profile = customer_profile(hist, item_dimension(hist, items), ("category",))
+    return profile.select("customer_id", _x12(), _x13())
 
 
 def profile_features(end_hist: datetime) -> list[Column]:
@@ -217,7 +222,8 @@ def profile_features(end_hist: datetime) -> list[Column]:
 
 def customer_features(hist: DataFrame, items: DataFrame, end_hist: datetime) -> DataFrame:
     """One row per customer with X4..X13."""
-    return customer_profile(hist, items).select("customer_id", *profile_features(end_hist))
+    profile = customer_profile(hist, item_dimension(hist, items))
+    return profile.select("customer_id", *profile_features(end_hist))
 
 
 # --- pair level -------------------------------------------------------------
@@ -238,7 +244,7 @@ def _zero_filled(features: list[str]) -> list[Column]:
 
 def candidate_features(candidates: DataFrame, hist: DataFrame, items: DataFrame) -> DataFrame:
     """X1..X3 for given pairs."""
-    affinity = customer_affinity(hist, items, with_popularity=False).select(
+    affinity = customer_profile(hist, items, ATTRIBUTES).select(
         "customer_id", *[f"{a}_rows" for a in ATTRIBUTES]
     )
     return (
@@ -264,7 +270,7 @@ def label_candidates(candidates: DataFrame, recent: DataFrame) -> DataFrame:
 def _features_of_given_pairs(
     candidates: DataFrame, hist: DataFrame, recent: DataFrame, items: DataFrame, end_hist: datetime
 ) -> DataFrame:
-    profile = customer_profile(hist, items).select(
+    profile = customer_profile(hist, item_dimension(hist, items)).select(
         "customer_id", *[f"{a}_rows" for a in ATTRIBUTES], *profile_features(end_hist)
     )
     featured = (
@@ -293,13 +299,14 @@ def _features_of_generated_pairs(
     # label window's pairs and the fan-out. Written once, it is computed once.
     lookups = [f"{a}_rows" for a in ATTRIBUTES]
     figures = list(config.FEATURE_COLUMNS[3:])
+    dimension = item_dimension(hist, items)
     profile = materialize(
-        customer_profile(hist, items).select(
+        customer_profile(hist, dimension).select(
             "customer_id", category_set(), *lookups, *profile_features(end_hist)
         ),
         "profile",
     )
-    pools = category_set_pools(profile, hist, items, cap_mode=cap_mode)
+    pools = category_set_pools(profile, dimension, items, cap_mode=cap_mode)
     bought = _bought_pairs(recent, items, profile, pools, cap_mode)
     # At most top_n + cap entries per customer: only generated pairs are listed.
     hits = (
@@ -314,7 +321,8 @@ def _features_of_generated_pairs(
     )
     bought_flag = F.coalesce(F.array_contains("bought_items", F.col("item_id")), F.lit(False))
     columns = [*match_features(), *_zero_filled(figures)]
-    generated = unfold_pools(customers, ["customer_id", *lookups, *figures, "bought_items"]).select(
+    kept = ["customer_id", *lookups, *figures, "bought_items"]
+    generated = unfold_pools(customers, kept).select(
         "customer_id", "item_id", *columns, bought_flag.cast("int").alias("Y")
     )
     if not include_positives:
@@ -331,15 +339,13 @@ def _bought_pairs(
     """Distinct pairs of the label window with their item's attributes, their
     customer's columns (null without history) and whether they are generated
     candidates anyway."""
-    known = customers.join(
-        pools.select("category_set", "pool_end", "top_items"), "category_set"
-    )
+    known = customers.join(pools.select("category_set", "pool_end"), "category_set")
     return (
         recent.select("customer_id", "item_id")
         .distinct()
         .join(items.select("item_id", *ATTRIBUTES), "item_id", "left")
         .join(known, "customer_id", "left")
-        .withColumn("generated", is_generated(cap_mode))
+        .withColumn("generated", is_generated(top_item_ids(pools), cap_mode))
     )
 
 
@@ -353,11 +359,12 @@ def training_candidates(
     """Distinct pairs from three sources: bought in the label window; the 50 most
     popular items for every customer with history; up to 200 items per customer
     that share a category with the customer's history."""
-    affinity = customer_affinity(hist, items, with_popularity=False)
+    dimension = item_dimension(hist, items)
+    bought_from = customer_profile(hist, dimension.drop("popularity"), ("category",))
     customers = materialize(
-        affinity.select("customer_id", "category_rows", category_set()), "category-sets"
+        bought_from.select("customer_id", "category_rows", category_set()), "category-sets"
     )
-    pools = category_set_pools(customers, hist, items, cap_mode=cap_mode)
+    pools = category_set_pools(customers, dimension, items, cap_mode=cap_mode)
     generated = unfold_pools(
         customers.repartition(fan_out_partitions(customers), "customer_id").join(
             pools, "category_set"

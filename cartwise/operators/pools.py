@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise import config
-from cartwise.operators.candidates import cap_key, first_n, popular_items
+from cartwise.operators.candidates import cap_key, first_n
 from cartwise.session import materialize
 
 ATTRIBUTES = ("brand", "age_group", "category")
@@ -19,13 +19,14 @@ def category_set() -> Column:
 
 def category_set_pools(
     customers: DataFrame,
-    hist: DataFrame,
+    dimension: DataFrame,
     items: DataFrame,
     top_n: int = config.TOP_K_POPULAR_ITEMS,
     cap: int = config.MAX_CANDIDATES_PER_USER,
     cap_mode: str = "id",
 ) -> DataFrame:
-    """One row per distinct ``category_set`` of ``customers``:
+    """One row per distinct ``category_set`` of ``customers``, given the counted items
+    of the history (``dimension``) and the catalogue:
 
     ``category_pool``  the first ``cap`` items of the set's categories;
     ``pool_end``       the last entry of that pool;
@@ -62,9 +63,9 @@ def category_set_pools(
         )
     )
     top = (
-        popular_items(hist, top_n)
-        .select("item_id")
-        .join(catalogue, "item_id", "left")
+        dimension.where(F.col("item_id").isNotNull())
+        .orderBy(F.desc("popularity"), "item_id")
+        .limit(top_n)
         .agg(F.sort_array(F.collect_list(entry)).alias("top_items"))
     )
     keyed = sets.join(pools, "category_set", "left").withColumn("top_items", top.scalar())
@@ -79,9 +80,16 @@ def _in_pool(category: Column, key: Column, item_id: Column) -> Column:
     return F.coalesce(own & (place <= F.col("pool_end")), F.lit(False))
 
 
-def is_generated(cap_mode: str = "id") -> Column:
-    """Whether a row (item columns next to the customer's pool) is a generated candidate."""
-    popular = F.array_contains(F.col("top_items.item_id"), F.col("item_id"))
+def top_item_ids(pools: DataFrame) -> Column:
+    """The popular items as one array value, the same for every customer."""
+    return pools.select("top_items.item_id").limit(1).scalar()
+
+
+def is_generated(top_ids: Column, cap_mode: str = "id") -> Column:
+    """Whether a row (item columns next to the customer's ``category_rows`` and
+    ``pool_end``) is a generated candidate. Popular items go to customers with
+    history only."""
+    popular = F.col("category_rows").isNotNull() & F.array_contains(top_ids, F.col("item_id"))
     in_pool = _in_pool(F.col("category"), cap_key(cap_mode), F.col("item_id"))
     return F.coalesce(popular, F.lit(False)) | in_pool
 
@@ -92,16 +100,21 @@ def unfold_pools(pools: DataFrame, keep: list[str]) -> DataFrame:
     A popular item that is also in the pool is listed once. A narrow step: the
     pairs are made where the customer row is.
     """
-    extra = F.filter("top_items", lambda e: ~_in_pool(e["category"], e["key"], e["item_id"]))
-    entries = F.when(F.col("category_pool").isNull(), extra).otherwise(
-        F.concat(extra, F.col("category_pool"))
+    entries = F.when(F.col("category_pool").isNull(), F.col("top_items")).otherwise(
+        F.concat("top_items", "category_pool")
     )
     # The outer form keeps the optimizer from evaluating the array a second time
     # for a "not empty" filter; the null row of an empty array is dropped below.
-    return (
-        pools.select(*keep, F.explode_outer(entries).alias("__e"))
-        .select(*keep, "__e.item_id", *[f"__e.{a}" for a in ATTRIBUTES])
-        .where(F.col("item_id").isNotNull())
+    flat = pools.select(
+        *keep,
+        *[c for c in ("category_rows", "pool_end") if c not in keep],
+        F.size("top_items").alias("__tops"),
+        F.posexplode_outer(entries).alias("__place", "__e"),
+    )
+    in_pool = _in_pool(F.col("__e.category"), F.col("__e.key"), F.col("__e.item_id"))
+    listed_again = (F.col("__place") < F.col("__tops")) & in_pool
+    return flat.where(F.col("__e.item_id").isNotNull() & ~listed_again).select(
+        *keep, "__e.item_id", *[f"__e.{a}" for a in ATTRIBUTES]
     )
 
 

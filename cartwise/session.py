@@ -21,6 +21,9 @@ def build_session(app_name: str = "cartwise", master: str | None = None, **conf)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Call sites of every column expression are looked up otherwise, which
+        # takes longer than planning the query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
