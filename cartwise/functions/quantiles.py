@@ -114,8 +114,9 @@ def quantiles(
 
 
 def nth_smallest(df: DataFrame, column: Column, n: Column) -> DataFrame:
-    """A one-row table with the value of rank ``n`` (one-based, over ``total``)."""
-    counts = value_counts(df.select(F.lit("v").alias("metric"), column.alias("value")))
+    """A one-row table with the long value of rank ``n`` (one-based, over ``total``)."""
+    named = df.select(column.alias("value"))
+    counts = value_counts(long_form(named, ["value"], cast="long"))
     return values_at_ranks(counts, F.array(n.cast("long") - 1)).select("value")
 
 
