@@ -273,8 +273,9 @@ def _features_of_given_pairs(
     profile = customer_profile(hist, item_dimension(hist, items)).select(
         "customer_id", *[f"{a}_rows" for a in ATTRIBUTES], *profile_features(end_hist)
     )
-    featured = (
-        candidates.select("customer_id", "item_id")
+    # Labels first: that join shuffles on the pair, and here a pair is two ids.
+    return (
+        label_candidates(candidates.select("customer_id", "item_id"), recent)
         .join(items.select("item_id", *ATTRIBUTES), "item_id", "left")
         .join(profile, "customer_id", "left")
         .select(
@@ -282,9 +283,9 @@ def _features_of_given_pairs(
             "item_id",
             *match_features(),
             *_zero_filled(list(config.FEATURE_COLUMNS[3:])),
+            "Y",
         )
     )
-    return label_candidates(featured, recent)
 
 
 def _features_of_generated_pairs(
