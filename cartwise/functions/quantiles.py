@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKETS = 256
+# Buckets are found in two steps of STEP comparisons each.
+STEP = 16
+BUCKETS = STEP * STEP
 
 
 def long_form(df: DataFrame, columns: list[str], cast: str = "double") -> DataFrame:
@@ -36,21 +38,34 @@ def value_counts(values: DataFrame) -> DataFrame:
     )
 
 
-def values_at_ranks(counts: DataFrame, ranks: Column, buckets: int = BUCKETS) -> DataFrame:
+def _with_bucket(counts: DataFrame, splits: DataFrame) -> DataFrame:
+    """``counts`` with the number of split points up to the value: the bucket.
+
+    Every STEP-th split point is compared first, then those between two of them.
+    """
+    marks = ", ".join(str(i) for i in range(STEP, BUCKETS, STEP))
+    coarse = f"{STEP} * size(filter(array({marks}), i -> splits[i - 1] <= value))"
+    fine = f"size(filter(slice(splits, low + 1, {STEP - 1}), s -> s <= value))"
+    # One row per metric.
+    return (
+        counts.join(F.broadcast(splits), "metric")
+        .withColumn("low", F.expr(coarse))
+        .select("metric", "value", "n", F.expr(f"low + {fine}").alias("bucket"))
+    )
+
+
+def values_at_ranks(counts: DataFrame, ranks: Column) -> DataFrame:
     """``(metric, total, rank, value)`` for the wanted zero-based ranks.
 
     ``ranks`` is an array expression over ``total``, the number of rows of the
     metric.
     """
-    cuts = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
+    cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
     # One row per metric: the split points, an array of fixed length.
     splits = counts.groupBy("metric").agg(
-        F.percentile_approx("value", cuts, F.lit(10 * buckets)).alias("splits")
-    )
-    bucket = F.size(F.filter("splits", lambda s: s <= F.col("value")))
-    placed = counts.join(F.broadcast(splits), "metric").select(
-        "metric", "value", "n", bucket.alias("bucket")
+        F.percentile_approx("value", cuts, F.lit(10 * BUCKETS)).alias("splits")
     )
+    placed = _with_bucket(counts, splits)
     by_bucket = placed.groupBy("metric", "bucket").agg(F.sum("n").alias("bucket_n"))
     up_to = Window.partitionBy("metric").orderBy("bucket")
     whole = Window.partitionBy("metric")

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from cartwise import config
 from cartwise.functions.expressions import seeded_key
 from cartwise.operators.windows import lookback_window
+from cartwise.session import fan_out_partitions
 
 TOP_CATEGORIES = 3
 
@@ -125,7 +126,12 @@ def spread_join(
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("__parts")
     )
-    return salted_left.join(salted_right, [key, "__salt"]).drop("__salt")
+    # The output is many times the input: by the cores, not by the input's size.
+    n = fan_out_partitions(left)
+    spread_left, spread_right = (
+        df.repartition(n, key, "__salt") for df in (salted_left, salted_right)
+    )
+    return spread_left.join(spread_right, [key, "__salt"]).drop("__salt")
 
 
 def generate_candidates_from_cooc(

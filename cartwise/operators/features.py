@@ -21,13 +21,12 @@ from cartwise.operators.pools import (
     ATTRIBUTES,
     category_set,
     category_set_pools,
-    fan_out_partitions,
     is_generated,
     top_item_ids,
     unfold_pools,
 )
 from cartwise.operators.windows import time_window
-from cartwise.session import materialize
+from cartwise.session import fan_out_partitions, materialize
 from cartwise.sources.schemas import TS_COL
 
 POWER_USER_MORE_THAN = 13

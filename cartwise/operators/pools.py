@@ -116,9 +116,3 @@ def unfold_pools(pools: DataFrame, keep: list[str]) -> DataFrame:
     return flat.where(F.col("__e.item_id").isNotNull() & ~listed_again).select(
         *keep, "__e.item_id", *[f"__e.{a}" for a in ATTRIBUTES]
     )
-
-
-def fan_out_partitions(df: DataFrame) -> int:
-    """Partitions for a step whose output is hundreds of times its input: by the
-    cores there are, as the small input would otherwise be packed into few tasks."""
-    return 2 * df.sparkSession.sparkContext.defaultParallelism

@@ -17,6 +17,21 @@ END_RECENT = datetime(2001, 7, 1)
 OBSERVATION_DATE = datetime(2001, 6, 1)
 
 
+# The columns used, with their types. A declared schema saves the job that would
+# read a file footer to infer it.
+_COLUMNS = {
+    "lineitem": "l_orderkey long, l_partkey long",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "part": "p_partkey long, p_brand string, p_type string, p_size int",
+    "customer": "c_custkey long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+}
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(_COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
 @dataclass(frozen=True)
 class Domain:
     transactions: DataFrame
@@ -34,24 +49,21 @@ class Domain:
 
 def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
     """Order lines are purchases, parts are items, customers are users."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderdate"
-    )
+    lines, orders = _read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders")
     transactions = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("item_id"),
         F.col("o_orderdate").alias("created_date"),
         F.col("l_orderkey").alias("order_id"),
     )
-    items = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    items = _read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item_id"),
         F.col("p_brand").alias("brand"),
         F.concat(F.lit("Step "), F.expr("(p_size + 9) div 10")).alias("age_group"),
         F.col("p_type").alias("category"),
     )
-    birth = F.date_add(F.lit("1995-01-01").cast("date"), F.expr("cast(c_custkey * 37 % 2400 as int)"))
-    users = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    birth = F.expr("date_add(DATE '1995-01-01', cast(c_custkey * 37 % 2400 as int))")
+    users = _read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.when(F.col("c_custkey") % 20 != 0, birth).alias("date_of_birth"),
     )
@@ -60,7 +72,7 @@ def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
 
 def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases with a time of day, from the event stream table."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'purchase'")
+    events = _read(spark, sf_dir, "events").where("event_type = 'purchase'")
     return events.select(
         F.col("user_id").alias("customer_id"),
         (F.col("event_id") % 2000).alias("item_id"),
