@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise import config
 from cartwise.functions.expressions import seeded_key
+from cartwise.functions.quantiles import union_all
+from cartwise.operators.submission import top_customers_by_score
 
 # Earlier results that new ones are compared with (fixed values).
 DEFAULT_BOOSTING = {("precision", 10): 0.0412, ("ndcg", 10): 0.1190}
@@ -182,6 +186,79 @@ def case_random(
     return cases.orderBy(key, "customer_id").limit(1)
 
 
+# --- customers by behaviour -------------------------------------------------
+
+
+def _with_share(counts: DataFrame) -> DataFrame:
+    total = counts.agg(F.sum("n_customers")).scalar()
+    return counts.withColumn("pct", F.col("n_customers") / total * 100)
+
+
+def purchase_count_distribution(transactions: DataFrame, last: int = 15) -> DataFrame:
+    """Customers by number of purchases, those above ``last`` together."""
+    per_customer = transactions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.when(F.col("n") > last, F.lit(f">{last}")).otherwise(F.col("n").cast("string"))
+    counts = per_customer.groupBy(bucket.alias("n_purchases")).agg(
+        F.count(F.lit(1)).alias("n_customers")
+    )
+    return _with_share(counts)
+
+
+def precision_tiers(cases: DataFrame) -> DataFrame:
+    """Customers by precision: above 0.5, 0.1 to 0.5, below 0.1."""
+    p = F.col("precision")
+    tier = F.when(p > 0.5, "above 0.5").when(p >= 0.1, "0.1 to 0.5").otherwise("below 0.1")
+    counts = cases.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("n_customers"))
+    return _with_share(counts)
+
+
+def precision_by_loyalty(
+    cases: DataFrame, top_brand_ratio: DataFrame, high: float = 0.7, low: float = 0.3
+) -> DataFrame:
+    """Mean precision of customers with a high, a low and a medium share of their top
+    brand. ``top_brand_ratio`` is ``(customer_id, X8_top_brand_ratio)``."""
+    x8 = F.col(config.FEATURE_COLUMNS[7])
+    band = F.when(x8 > high, "high").when(x8 < low, "low").otherwise("medium")
+    return (
+        cases.join(top_brand_ratio, "customer_id")
+        .groupBy(band.alias("loyalty"))
+        .agg(F.count(F.lit(1)).alias("n_customers"), F.avg("precision").alias("precision"))
+    )
+
+
+def coverage_tradeoff(
+    predictions: DataFrame, cases: DataFrame, cut_offs: Sequence[int]
+) -> DataFrame:
+    """For each cut-off: customers submitted (highest mean scores first), those of them
+    with purchases, and the mean precision of these.
+
+    Each cut-off is a top-n of customer means, so no global ranking is needed.
+    """
+    rows = []
+    for n in cut_offs:
+        kept = top_customers_by_score(predictions, n).select("customer_id")
+        rows.append(
+            kept.join(cases.select("customer_id", "precision"), "customer_id", "left").agg(
+                F.lit(n).cast("long").alias("cut_off"),
+                F.count(F.lit(1)).alias("n_customers"),
+                F.count("precision").alias("n_with_purchases"),
+                F.avg("precision").alias("precision"),
+            )
+        )
+    return union_all(rows)
+
+
+def truth_coverage(predictions: DataFrame, ground_truth: DataFrame) -> DataFrame:
+    """Customers of the ground truth, those with predictions, and their share in percent."""
+    predicted = predictions.select("customer_id").distinct().withColumn("__p", F.lit(1))
+    joined = ground_truth.select("customer_id").distinct().join(predicted, "customer_id", "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("n_truth"),
+        F.count("__p").alias("n_predicted"),
+        (F.count("__p") / F.count(F.lit(1)) * 100).alias("coverage_pct"),
+    )
+
+
 # --- importances ------------------------------------------------------------
 
 

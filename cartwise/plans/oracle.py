@@ -13,6 +13,7 @@ from cartwise import config
 from cartwise.operators import reports
 from cartwise.plans.registry import (
     AGE_GROUPS,
+    COVERAGE_CUT_OFFS,
     SEGMENT_PATTERN,
     SUBMISSION_CUSTOMERS,
     WEIGHTS,
@@ -737,4 +738,37 @@ BODIES: dict[str, str] = {
             ORDER BY {_key("customer_id")}, customer_id LIMIT 3)""",
 }
 
+BODIES |= {
+    "purchase_count_distribution": """
+        SELECT n_purchases, count(*) AS n_customers,
+               round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100, 6) AS pct
+        FROM (SELECT CASE WHEN count(*) > 15 THEN '>15' ELSE CAST(count(*) AS VARCHAR) END
+                       AS n_purchases
+              FROM tx GROUP BY customer_id)
+        GROUP BY n_purchases""",
+    "precision_tiers": """
+        SELECT tier, count(*) AS n_customers,
+               round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100, 6) AS pct
+        FROM (SELECT CASE WHEN hits > 5 THEN 'above 0.5' WHEN hits >= 1 THEN '0.1 to 0.5'
+                          ELSE 'below 0.1' END AS tier FROM cases)
+        GROUP BY tier""",
+    "precision_by_loyalty": f"""
+        SELECT CASE WHEN "{X[8]}" > CAST(0.7 AS DOUBLE) THEN 'high'
+                    WHEN "{X[8]}" < CAST(0.3 AS DOUBLE) THEN 'low' ELSE 'medium' END AS loyalty,
+               count(*) AS n_customers, round(avg("precision"), 6) AS "precision"
+        FROM cases JOIN loyal USING (customer_id) GROUP BY loyalty""",
+    "coverage_tradeoff": " UNION ALL ".join(
+        f"""SELECT CAST({n} AS BIGINT) AS cut_off, count(*) AS n_customers,
+                   count("precision") AS n_with_purchases, round(avg("precision"), 6) AS "precision"
+            FROM (SELECT customer_id FROM pred GROUP BY customer_id
+                  ORDER BY avg(score) DESC, customer_id LIMIT {n}) LEFT JOIN cases USING (customer_id)"""
+        for n in COVERAGE_CUT_OFFS
+    ),
+    "truth_coverage": """
+        SELECT count(*) AS n_truth, count(p.customer_id) AS n_predicted,
+               round(count(p.customer_id) / CAST(count(*) AS DOUBLE) * 100, 6) AS coverage_pct
+        FROM (SELECT DISTINCT customer_id FROM truth) t
+             LEFT JOIN (SELECT DISTINCT customer_id FROM pred WHERE score > 4) p USING (customer_id)""",
+}
+
 ORACLE = {name: _with(body) for name, body in BODIES.items()}

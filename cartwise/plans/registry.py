@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ SEGMENT_PATTERN = "PROMO"
 AGE_GROUPS = [f"Step {i}" for i in range(1, 6)]
 SAMPLE_METHOD = "multiplicative"
 SUBMISSION_CUSTOMERS = 500
+COVERAGE_CUT_OFFS = (50, 250, 1000)
 BIRTH_REFERENCE = date(2001, 1, 1)
 # Small fits: the same code with fewer iterations.
 SMALL_BOOSTING = {"maxIter": 3, "maxDepth": 4}
@@ -99,6 +101,10 @@ def _staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Dat
     return _STAGED[key]
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def staged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "features", lambda: _feature_table(spark, sf_dir))
 
@@ -191,14 +197,14 @@ def features_cache(spark, sf_dir):
 
 @query("predictions_io")
 def predictions_io(spark, sf_dir):
-    path = f"{shared_folder(spark)}/predictions_linear-{spark.sparkContext.applicationId}"
+    path = _new_folder(spark, "predictions_linear")
     artifacts.write_predictions(staged_predictions(spark, sf_dir), path)
     return artifacts.read_predictions(spark, path)
 
 
 def _metrics_folder(spark, sf_dir) -> str:
     """One metrics file per feature set, written the way a training run writes them."""
-    folder = f"{shared_folder(spark)}/metrics-{spark.sparkContext.applicationId}"
+    folder = _new_folder(spark, "metrics")
     names = {
         3: "metrics_3features",
         5: "metrics_5features",
@@ -457,8 +463,6 @@ QUERIES["x13_avg_item_popularity"] = _customer_feature(
 @query("x4_recency_intraday")
 def x4_recency_intraday(spark, sf_dir):
     # Times of day: a purchase less than 24 hours before the end is 0 days old.
-    from datetime import datetime
-
     events = td.purchase_events(spark, sf_dir)
     return features.recency_features(events, datetime(2024, 2, 15))
 
@@ -503,8 +507,7 @@ def _fit(kind: str, spark, sf_dir, params=None):
 def _training(kind: str, params=None) -> Query:
     def run(spark, sf_dir):
         model = _fit(kind, spark, sf_dir, params)
-        scored = models.predict_and_rank(model, staged_features(spark, sf_dir), top_k=10)
-        return scored
+        return models.predict_and_rank(model, staged_features(spark, sf_dir), top_k=10)
 
     return run
 
@@ -531,7 +534,7 @@ def predict_scores(spark, sf_dir):
 
 @query("model_io")
 def model_io(spark, sf_dir):
-    path = f"{shared_folder(spark)}/model-{spark.sparkContext.applicationId}"
+    path = _new_folder(spark, "model")
     models.save_model(_fit("logistic", spark, sf_dir), path)
     return models.predict_and_rank(
         models.load_model(path), staged_features(spark, sf_dir), top_k=5
@@ -698,7 +701,7 @@ def submission_lists(spark, sf_dir):
 
 @query("submission_json")
 def submission_json(spark, sf_dir):
-    path = f"{shared_folder(spark)}/submission-{spark.sparkContext.applicationId}"
+    path = _new_folder(spark, "submission")
     submission.write_submission(_lists(spark, sf_dir), path)
     return spark.read.text(path)
 
@@ -854,3 +857,42 @@ QUERIES["item_rec_frequency"] = _over_predictions(reports.item_rec_frequency)
 QUERIES["sample_customer_recs"] = _over_predictions(
     lambda p: reports.sample_customer_recs(p, method=SAMPLE_METHOD), 9
 )
+
+
+# --- customers by behaviour -------------------------------------------------
+
+
+def _cases(spark, sf_dir) -> DataFrame:
+    return reports.customer_cases(staged_predictions(spark, sf_dir), _truth(spark, sf_dir))
+
+
+QUERIES["purchase_count_distribution"] = _over_transactions(
+    lambda t: rounded(reports.purchase_count_distribution(t))
+)
+
+
+@query("precision_tiers")
+def precision_tiers(spark, sf_dir):
+    return rounded(reports.precision_tiers(_cases(spark, sf_dir)))
+
+
+@query("precision_by_loyalty")
+def precision_by_loyalty(spark, sf_dir):
+    d = td.load_domain(spark, sf_dir)
+    ratio = features.brand_loyalty_features(d.hist, d.items).select("customer_id", _X[8])
+    return rounded(reports.precision_by_loyalty(_cases(spark, sf_dir), ratio))
+
+
+@query("coverage_tradeoff")
+def coverage_tradeoff(spark, sf_dir):
+    return rounded(
+        reports.coverage_tradeoff(
+            staged_predictions(spark, sf_dir), _cases(spark, sf_dir), COVERAGE_CUT_OFFS
+        )
+    )
+
+
+@query("truth_coverage")
+def truth_coverage(spark, sf_dir):
+    served = staged_predictions(spark, sf_dir).where("score > 4")
+    return rounded(reports.truth_coverage(served, _truth(spark, sf_dir)))
