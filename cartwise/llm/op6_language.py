@@ -38,12 +38,46 @@ def _letter(code: int) -> np.ndarray:
     return (np.random.default_rng([SEED, code]).integers(0, 2, DIMENSIONS) * 2 - 1).astype(np.int8)
 
 
-@functools.lru_cache(maxsize=30_000)
-def _gram_vector(code: int) -> np.ndarray:
-    out = np.ones(DIMENSIONS, np.int8)
-    for place in range(GRAM):
-        out = out * np.roll(_letter((code >> (BITS * place)) & ((1 << BITS) - 1)), place)
-    return out
+class _Vectors:
+    """The vectors of the n-grams a worker has met, made once; begun anew when they fill LIMIT rows."""
+
+    LIMIT = 1 << 14
+
+    def __init__(self):
+        self.rows = np.zeros((1024, DIMENSIONS), np.float32)
+        self.codes, self.where = np.zeros(0, np.int64), np.zeros(0, np.int64)  # sorted codes, their rows
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        """The rows of the vectors of the distinct, sorted ``codes``; LIMIT of them at most."""
+        at = np.searchsorted(self.codes, codes)
+        new = codes[self.codes[np.minimum(at, len(self.codes) - 1)] != codes] if len(self.codes) else codes
+        if not len(new):
+            return self.where[at]
+        used = len(self.codes)
+        if used + len(new) > self.LIMIT:
+            self.codes, self.where, used, new = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, codes
+        if used + len(new) > len(self.rows):
+            grown = np.zeros((min(self.LIMIT, 2 * (used + len(new))), DIMENSIONS), np.float32)
+            grown[:used] = self.rows[:used]
+            self.rows = grown
+        made = self.rows[used : used + len(new)]
+        made[:] = 1
+        for place in range(GRAM):
+            letters, which = np.unique((new >> (BITS * place)) & ((1 << BITS) - 1), return_inverse=True)
+            made *= np.stack([np.roll(_letter(c), place) for c in letters.tolist()])[which]
+        self.codes = np.concatenate([self.codes, new])
+        self.where = np.concatenate([self.where, np.arange(used, used + len(new))])
+        order = np.argsort(self.codes, kind="stable")
+        self.codes, self.where = self.codes[order], self.where[order]
+        return self.where[np.searchsorted(self.codes, codes)]
+
+    def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The sum of the vectors of distinct ``codes``, each ``counts`` times."""
+        out = np.zeros(DIMENSIONS)
+        for i in range(0, len(codes), 8192):
+            at = self.places(codes[i : i + 8192])
+            out += counts[i : i + 8192].astype(np.float32) @ self.rows[at]
+        return out
 
 
 def _grams(text: str | None) -> np.ndarray:
@@ -60,13 +94,8 @@ def _grams(text: str | None) -> np.ndarray:
     return sum(codes[i : len(codes) - GRAM + 1 + i] << (BITS * (GRAM - 1 - i)) for i in range(GRAM))
 
 
-def _bundle(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The sum of the n-grams' vectors, each as often as it occurs."""
-    out = np.zeros(DIMENSIONS)
-    for i in range(0, len(codes), 4096):
-        block = np.stack([_gram_vector(c) for c in codes[i : i + 4096].tolist()])
-        out += counts[i : i + 4096].astype(np.float32) @ block.astype(np.float32)
-    return out
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(codes, return_counts=True)
 
 
 def fit(docs: DataFrame) -> dict[str, np.ndarray]:
@@ -78,31 +107,25 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray]:
     rows = docs.select("text", "lang").where("text is not null and lang is not null")
 
     def run(batches):
-        seen: dict[str, dict[int, int]] = {}
+        vectors, total = _Vectors(), {}
         for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in reversed(batch.columns)), strict=True):
-                codes, counts = np.unique(_grams(text), return_counts=True)
-                own = seen.setdefault(lang, {})
-                for code, count in zip(codes.tolist(), counts.tolist(), strict=True):
-                    own[code] = own.get(code, 0) + count
-            if sum(map(len, seen.values())) > 400_000:
-                yield from out(seen)
-                seen = {}
-        yield from out(seen)
-
-    def out(seen):
-        for lang, own in seen.items():
-            if own:
-                sums = np.zeros(DIMENSIONS, np.int64)
-                for code, count in own.items():
-                    sums += _gram_vector(code).astype(np.int64) * count
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * DIMENSIONS), pa.array(range(DIMENSIONS), pa.int32()), pa.array(sums)],
-                    names=["lang", "place", "total"],
-                )
-
-    sums = rows.mapInArrow(run, "lang string, place int, total long").groupBy("lang", "place")
-    found = sums.agg(F.sum(F.col("total").cast("double")).alias("total")).orderBy("lang", "place").collect()
+            texts = batch.column("text")
+            own: dict[str, list[int]] = {}
+            for i, lang in enumerate(batch.column("lang").to_pylist()):
+                own.setdefault(lang, []).append(i)
+            for lang, at in own.items():
+                sums = total.setdefault(lang, np.zeros(DIMENSIONS))
+                for a in range(0, len(at), 256):
+                    codes = np.concatenate([_grams(texts[i].as_py()) for i in at[a : a + 256]])
+                    sums += np.rint(vectors.bundle(*_counted(codes)))
+        for lang, sums in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * DIMENSIONS), pa.array(range(DIMENSIONS), pa.int32()), pa.array(sums)],
+                names=["lang", "place", "total"],
+            )
+
+    sums = rows.mapInArrow(run, "lang string, place int, total double").groupBy("lang", "place")
+    found = sums.agg(F.sum("total").alias("total")).orderBy("lang", "place").collect()
     prototypes: dict[str, np.ndarray] = {}
     for row in found:
         prototypes.setdefault(row.lang, np.zeros(DIMENSIONS))[row.place] = row.total
@@ -116,18 +139,19 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str,
     names = sorted(prototypes)
     unit = np.stack([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-9) for n in names]) if names else None
 
-    def one(text):
-        codes, counts = np.unique(_grams(text), return_counts=True)
+    def one(text, vectors):
+        codes, counts = _counted(_grams(text))
         if unit is None or not len(codes):
             return "und", 0.0
-        vector = _bundle(codes, counts)
+        vector = vectors.bundle(codes, counts)
         cosines = unit @ vector / max(np.linalg.norm(vector), 1e-9)
         best = int(np.argmax(cosines))
         return names[best], float(min(max(cosines[best], 0.0), 1.0))
 
     def run(batches):
+        vectors = _Vectors()
         for batch in batches:
-            found = [one(x.as_py()) for x in batch.column("_text")]
+            found = [one(x.as_py(), vectors) for x in batch.column("_text")]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[*batch.schema.names[:-1], "lang_pred", "lang_score"],
