@@ -6,6 +6,8 @@ from cartwise.llm.op1_quality import op1_quality
 from cartwise.llm.op5_search import SQL as SQL5
 from cartwise.llm.op5_search import op5_search
 from cartwise.llm.op6_language import op6_language
+from cartwise.llm.op7_jaccard_join import SQL as SQL7
+from cartwise.llm.op7_jaccard_join import op7_jaccard_join
 from cartwise.llm.op9_url_filter import SQL as SQL9
 from cartwise.llm.op9_url_filter import op9_url_filter
 
@@ -13,6 +15,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op5_search": op5_search,
     "op6_language": op6_language,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_url_filter": op9_url_filter,
 }
-ORACLE = {"op5_search": SQL5, "op9_url_filter": SQL9}
+ORACLE = {"op5_search": SQL5, "op7_jaccard_join": SQL7, "op9_url_filter": SQL9}
