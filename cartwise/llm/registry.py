@@ -5,6 +5,7 @@ from __future__ import annotations
 from cartwise.llm.op1_quality import op1_quality
 from cartwise.llm.op3_decontaminate import SQL as SQL3
 from cartwise.llm.op3_decontaminate import op3_decontaminate
+from cartwise.llm.op4_bpe import op4_bpe
 from cartwise.llm.op5_search import SQL as SQL5
 from cartwise.llm.op5_search import op5_search
 from cartwise.llm.op6_language import op6_language
@@ -16,6 +17,7 @@ from cartwise.llm.op9_url_filter import op9_url_filter
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_decontaminate": op3_decontaminate,
+    "op4_bpe": op4_bpe,
     "op5_search": op5_search,
     "op6_language": op6_language,
     "op7_jaccard_join": op7_jaccard_join,
