@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+from cartwise.llm import op3_decontaminate, op5_search, op7_jaccard_join, op8_tool_calls, op9_url_filter
 from cartwise.llm.op1_quality import op1_quality
-from cartwise.llm.op3_decontaminate import SQL as SQL3
-from cartwise.llm.op3_decontaminate import op3_decontaminate
+from cartwise.llm.op2_main_text import op2_main_text
 from cartwise.llm.op4_bpe import op4_bpe
-from cartwise.llm.op5_search import SQL as SQL5
-from cartwise.llm.op5_search import op5_search
 from cartwise.llm.op6_language import op6_language
-from cartwise.llm.op7_jaccard_join import SQL as SQL7
-from cartwise.llm.op7_jaccard_join import op7_jaccard_join
-from cartwise.llm.op9_url_filter import SQL as SQL9
-from cartwise.llm.op9_url_filter import op9_url_filter
+from cartwise.llm.op10_token_counts import op10_token_counts
 
 QUERIES = {
     "op1_quality": op1_quality,
-    "op3_decontaminate": op3_decontaminate,
+    "op2_main_text": op2_main_text,
+    "op3_decontaminate": op3_decontaminate.op3_decontaminate,
     "op4_bpe": op4_bpe,
-    "op5_search": op5_search,
+    "op5_search": op5_search.op5_search,
     "op6_language": op6_language,
-    "op7_jaccard_join": op7_jaccard_join,
-    "op9_url_filter": op9_url_filter,
+    "op7_jaccard_join": op7_jaccard_join.op7_jaccard_join,
+    "op8_tool_calls": op8_tool_calls.op8_tool_calls,
+    "op9_url_filter": op9_url_filter.op9_url_filter,
+    "op10_token_counts": op10_token_counts,
+}
+#: The others are tested against brute force, a reference library or held-out labels.
+ORACLE = {
+    "op3_decontaminate": op3_decontaminate.SQL,
+    "op5_search": op5_search.SQL,
+    "op7_jaccard_join": op7_jaccard_join.SQL,
+    "op8_tool_calls": op8_tool_calls.SQL,
+    "op9_url_filter": op9_url_filter.SQL,
 }
-ORACLE = {"op3_decontaminate": SQL3, "op5_search": SQL5, "op7_jaccard_join": SQL7, "op9_url_filter": SQL9}
