@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -22,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_fields(schema: T.StructType, **fields: str) -> T.StructType:
+    """The schema and further fields, all of which may be null."""
+    added = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in fields.items()]
+    return T.StructType([*(T.StructField(f.name, f.dataType) for f in schema), *added])
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; all other characters stay."""
     return F.translate(text, UPPER, LOWER)

@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, epochs
 def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and ``quality_score`` (0 to 1) of every row, whole texts."""
     kept = docs.select(*keep, F.col("text").alias("_text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in kept.drop("_text").dtypes) + ", quality_score double"
+    schema = C.with_fields(kept.drop("_text").schema, quality_score="double")
 
     def run(batches):
         for batch in batches:

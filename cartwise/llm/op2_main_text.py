@@ -325,7 +325,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> Dat
     rows = pages.select(*keep, host.alias("_host"), F.col("html").alias("_html"))
     wrappers = materialize(induce(rows.select(F.col("_host").alias("host"), F.col("_html").alias("html"))), "wrappers")
     size = wrappers.agg(F.sum(F.length("wrapper") + F.length("host") + 64)).first()[0] or 0
-    columns = ", ".join(f"`{n}` {t}" for n, t in rows.select(*keep).dtypes) + ", main_text string"
+    columns = C.with_fields(rows.select(*keep).schema, main_text="string")
     names = list(keep)
     if size <= SENT_BYTES:
         known = {r.host: r.wrapper for r in wrappers.collect()}

@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwise.llm import common as C
 
@@ -222,14 +223,12 @@ def encode(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str | Non
     known = F.when(~F.rlike(text, F.lit(r"\p{Cn}")), F.regexp_extract_all(text, F.lit(JAVA_PATTERN), 0))
     rows = docs.select(*keep, F.col("text").alias("_text")).withColumn("_words", known)
     names = list(keep)
-    kept = ", ".join(f"`{n}`: {t}" for n, t in docs.select(*keep).dtypes)
-    blocks = rows.mapInArrow(
-        lambda b: _numbered(b, names),
-        f"rows array<struct<{kept}>>, codes binary, sizes binary, often array<string>, rare array<string>, begin boolean",
-    )
+    kept = docs.select(*keep).schema
+    made = T.StructType([T.StructField("rows", T.ArrayType(kept))])
+    made = C.with_fields(made, codes="binary", sizes="binary", often="array<string>", rare="array<string>", begin="boolean")
+    blocks = rows.mapInArrow(lambda b: _numbered(b, names), made)
     encoded = blocks.select("rows", "codes", "sizes", fold_merges(F.col("often"), ranks).alias("encoded"), "rare", "begin")
-    columns = ", ".join(f"`{n}` {t}" for n, t in docs.select(*keep).dtypes)
-    return encoded.mapInArrow(lambda b: _gathered(b, names, ranks), f"{columns}, ids binary")
+    return encoded.mapInArrow(lambda b: _gathered(b, names, ranks), C.with_fields(kept, ids="binary"))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -250,8 +249,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             out = pa.array([one(x.as_buffer() if x.is_valid else None) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
 
-    columns = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
-    return encoded.mapInArrow(run, f"{columns}, decoded binary")
+    return encoded.mapInArrow(run, C.with_fields(encoded.schema, decoded="binary"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

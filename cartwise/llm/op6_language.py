@@ -135,7 +135,7 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray]:
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``lang_pred`` and ``lang_score`` (cosine, 0 to 1) of every row."""
     kept = docs.select(*keep, F.col("text").alias("_text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in kept.drop("_text").dtypes) + ", lang_pred string, lang_score double"
+    schema = C.with_fields(kept.drop("_text").schema, lang_pred="string", lang_score="double")
     names = sorted(prototypes)
     unit = np.stack([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-9) for n in names]) if names else None
 
