@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +24,25 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once a session: they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_cartwise_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    # The driver serves this file to executors as long as it runs.
+    folder = tempfile.mkdtemp(prefix="cartwise-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/cartwise_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._cartwise_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

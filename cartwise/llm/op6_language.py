@@ -119,6 +119,8 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray]:
                     codes = np.concatenate([_grams(texts[i].as_py()) for i in at[a : a + 256]])
                     sums += np.rint(vectors.bundle(*_counted(codes)))
         for lang, sums in total.items():
+            if not sums.any():
+                continue
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * DIMENSIONS), pa.array(range(DIMENSIONS), pa.int32()), pa.array(sums)],
                 names=["lang", "place", "total"],

@@ -37,6 +37,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that are in one of the languages learnt from the documents: texts without
     letters go, and long texts that are like none of them."""
+    C.ship(spark)
     learnt = language.fit(docs.where(C.fold_of(F.col("doc_id"), 4) != 2))
     found = language.predict(_packed(docs), learnt, keep=("row",))
     unlike = (F.length("row.text") >= LONG_TEXT) & (F.col("lang_score") < LEAST_COSINE)
@@ -46,6 +47,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each class of near-duplicates; one row of repeated ones.
     Documents without words are in no class and stay, as do those without an id."""
+    C.ship(spark)
     first = jaccard.components(docs.where("doc_id is not null")).where("component_id = doc_id").select("doc_id").distinct()
     rows = _packed(docs)
     kept = rows.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -61,6 +63,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids (base64 of little-endian 32-bit integers), their number, and digests of
     the ids and of the bytes that they decode to."""
+    C.ship(spark)
     found = bpe.decode(bpe.encode(docs, keep=("doc_id",)))
     return found.select(
         "doc_id",
