@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding.
 
-Spark's regular expressions cut texts into pre-tokens. A task numbers the distinct words of its texts and
-sends each block on as numbers with the words it has not met before. Higher-order functions fold the ranked
+A task cuts its texts into pre-tokens, numbers the distinct words and sends each block on as numbers with the
+words it has not met before. Higher-order functions fold the ranked
 merges over a word's bytes, looking pairs up in a literal map of ranks (dealt by crc32 into buckets, as a map is
 searched from its start). The ids of a block are then gathered by number. Nothing is shuffled, collected or
 sent but the ranks; a lost task is run again from its input. Decoding concatenates the ids' binary pieces.
@@ -11,8 +11,7 @@ REPEATS times in the block that brings them are folded by the same merges in the
 distinct words are rare ones, and with all of them the fold would take more than the whole budget (README).
 Either way gives the same ids.
 
-A null or empty text has no ids. A text with characters that Java's older Unicode tables do not know is cut
-by the ``regex`` library. Repeated rows are encoded alike; all columns named in ``keep`` pass. An id
+A null or empty text has no ids. Repeated rows are encoded alike; all columns named in ``keep`` pass. An id
 outside the vocabulary decodes to null. Memory: the distinct words of a task, begun anew at WORDS_HELD, and blocks
 of about BLOCK_PIECES pre-tokens or one longer text.
 """
@@ -23,7 +22,7 @@ import base64
 import functools
 import json
 import zlib
-from itertools import chain
+from itertools import chain, compress, islice
 
 import numpy as np
 import public_tokenizers
@@ -38,12 +37,10 @@ from cartwise.llm import common as C
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BUCKETS = 1 << 13
-REPEATS = 16
-BLOCK_PIECES = 1_000_000
-WORDS_HELD = 600_000
+REPEATS = 8
+BLOCK_PIECES = 500_000
+WORDS_HELD = 400_000
 NONE = 2**31 - 1
-#: The same pattern with white space as Unicode has it.
-JAVA_PATTERN = public_tokenizers.PATTERN.replace(r"\s", r"\p{IsWhite_Space}").replace(r"\S", r"\P{IsWhite_Space}")
 
 
 @functools.cache
@@ -133,59 +130,51 @@ def _merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
+class _Numbers(dict):
+    """Words and their numbers; a word not met before gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _numbered(batches, names: list[str]):
     """Blocks of rows: their columns, numbers of their words, and the new words (frequent, rare)."""
-    pattern = regex.compile(public_tokenizers.PATTERN)
-    index: dict[str, int] = {}
-
-    def block(kept: pa.StructArray, words: pa.ListArray, begin: bool):
-        flat = words.flatten()
-        coded = flat.dictionary_encode()
-        values = coded.dictionary.to_pylist()
-        local = coded.indices.to_numpy(zero_copy_only=False)
-        times = np.bincount(local, minlength=len(values))
-        number = np.array([index.get(w, -1) for w in values], np.int32)
-        new = np.flatnonzero(number < 0)
-        often = times[new] >= REPEATS
-        groups = []
-        for chosen in (new[often], new[~often]):
-            number[chosen] = np.arange(len(index), len(index) + len(chosen))
-            groups.append([values[i] for i in chosen])
-            index.update(zip(groups[-1], number[chosen].tolist(), strict=True))
-        codes = number[local] if len(local) else np.zeros(0, np.int32)
-        sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int32)
+    find = regex.compile(public_tokenizers.PATTERN).findall
+    numbers = _Numbers()
+
+    def block(kept: pa.StructArray, words: list[str], sizes: list[int], begin: bool):
+        known = len(numbers)
+        codes = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+        times = np.bincount(codes[codes >= known] - known, minlength=len(numbers) - known)
+        new = list(islice(reversed(numbers), len(numbers) - known))[::-1]
+        often = times >= REPEATS
         return pa.RecordBatch.from_arrays(
             [
                 pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept),
-                pa.array([codes.astype(np.int32).tobytes()], pa.binary()),
-                pa.array([sizes.tobytes()], pa.binary()),
-                pa.array([groups[0]], pa.list_(pa.string())),
-                pa.array([groups[1]], pa.list_(pa.string())),
+                pa.array([codes.tobytes()], pa.binary()),
+                pa.array([np.array(sizes, np.int32).tobytes()], pa.binary()),
+                pa.array([list(compress(new, often))], pa.list_(pa.string())),
+                pa.array([list(compress(new, ~often))], pa.list_(pa.string())),
+                pa.array([np.packbits(often).tobytes()], pa.binary()),
                 pa.array([begin]),
             ],
-            names=["rows", "codes", "sizes", "often", "rare", "begin"],
+            names=["rows", "codes", "sizes", "often", "rare", "which", "begin"],
         )
 
     for batch in batches:
         kept = pa.StructArray.from_arrays([batch.column(n) for n in names], names=names)
-        words, texts = batch.column("_words"), batch.column("_text")
-        odd = np.asarray(pc.and_(words.is_null(), texts.is_valid()))
-        parts = [(kept, words)]
-        if odd.any():
-            cut = pa.array([pattern.findall(t.as_py()) for t in texts.filter(pa.array(odd))], pa.list_(pa.string()))
-            parts = [(kept.filter(pa.array(~odd)), words.filter(pa.array(~odd))), (kept.filter(pa.array(odd)), cut)]
-        for rows, lists in parts:
-            lists = pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists
-            total = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            start = 0
-            while start < len(rows):
-                before = total[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(total, before + BLOCK_PIECES, side="right")))
-                begin = len(index) > WORDS_HELD
+        texts, first, words, sizes = batch.column("_text"), 0, [], []
+        for i in range(batch.num_rows):
+            found = find(texts[i].as_py() or "")
+            sizes.append(len(found))
+            words += found
+            if len(words) >= BLOCK_PIECES or i + 1 == batch.num_rows:
+                begin = len(numbers) > WORDS_HELD
                 if begin:
-                    index.clear()
-                yield block(rows.slice(start, end - start), lists.slice(start, end - start), begin)
-                start = end
+                    numbers.clear()
+                yield block(kept.slice(first, len(sizes)), words, sizes, begin)
+                first, words, sizes = i + 1, [], []
 
 
 def _gathered(batches, names: list[str], ranks: dict[bytes, int]):
@@ -198,12 +187,15 @@ def _gathered(batches, names: list[str], ranks: dict[bytes, int]):
                 ids, first, size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
             often = batch.column("encoded")[i].values
             rare = [_merge(w.encode(), ranks) for w in batch.column("rare")[i].as_py()]
-            by_spark = pc.list_value_length(often).to_numpy(zero_copy_only=False)
+            by_spark = pc.list_value_length(often).to_numpy(zero_copy_only=False).astype(np.int64)
             by_task = np.fromiter(map(len, rare), np.int64, len(rare))
-            added = np.concatenate([by_spark, by_task]).astype(np.int64)
+            added = np.concatenate([by_spark, by_task])
             flat = np.concatenate([often.flatten().to_numpy(zero_copy_only=False), np.fromiter(chain.from_iterable(rare), np.int64)])
-            first = np.concatenate([first, len(ids) + np.cumsum(added) - added])
-            size = np.concatenate([size, added])
+            which = np.unpackbits(np.frombuffer(batch.column("which")[i].as_buffer(), np.uint8), count=len(added)).astype(bool)
+            place = np.empty(len(added), np.int64)  # of each new word, in the order of their numbers
+            place[which], place[~which] = np.arange(len(by_spark)), np.arange(len(by_spark), len(added))
+            first = np.concatenate([first, (len(ids) + np.cumsum(added) - added)[place]])
+            size = np.concatenate([size, added[place]])
             ids = np.concatenate([ids, flat.astype("<u4")])
             codes = np.frombuffer(batch.column("codes")[i].as_buffer(), np.int32)
             words = np.frombuffer(batch.column("sizes")[i].as_buffer(), np.int32)
@@ -219,15 +211,13 @@ def _gathered(batches, names: list[str], ranks: dict[bytes, int]):
 def encode(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str | None = None) -> DataFrame:
     """``keep`` and ``ids`` (little-endian unsigned 32-bit integers) of every row's whole text."""
     ranks = load_ranks(path or public_tokenizers.path(VOCABULARY))
-    text = F.col("_text")
-    known = F.when(~F.rlike(text, F.lit(r"\p{Cn}")), F.regexp_extract_all(text, F.lit(JAVA_PATTERN), 0))
-    rows = docs.select(*keep, F.col("text").alias("_text")).withColumn("_words", known)
+    rows = docs.select(*keep, F.col("text").alias("_text"))
     names = list(keep)
     kept = docs.select(*keep).schema
     made = T.StructType([T.StructField("rows", T.ArrayType(kept))])
-    made = C.with_fields(made, codes="binary", sizes="binary", often="array<string>", rare="array<string>", begin="boolean")
+    made = C.with_fields(made, codes="binary", sizes="binary", often="array<string>", rare="array<string>", which="binary", begin="boolean")
     blocks = rows.mapInArrow(lambda b: _numbered(b, names), made)
-    encoded = blocks.select("rows", "codes", "sizes", fold_merges(F.col("often"), ranks).alias("encoded"), "rare", "begin")
+    encoded = blocks.select("rows", "codes", "sizes", fold_merges(F.col("often"), ranks).alias("encoded"), "rare", "which", "begin")
     return encoded.mapInArrow(lambda b: _gathered(b, names, ranks), C.with_fields(kept, ids="binary"))
 
 
