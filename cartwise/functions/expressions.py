@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAYS_PER_MONTH = 30.4375
+# Odd, and below 2^31, so that its product with a 32-bit number is a 64-bit one.
+MULTIPLIER = 1103515245
 
 
 def ts(value: datetime | str) -> Column:
@@ -45,13 +47,14 @@ def seeded_key(column: Column, seed: int = 42, method: str = "xxhash64") -> Colu
     It depends on the id and the seed only, so a recomputed partition gives the
     same sample. ``xxhash64`` is a bijection of 64-bit ids. ``multiplicative`` is
     a plain multiplicative hash that any SQL engine can reproduce; it has no ties
-    among ids below 2^32.
+    among ids that differ modulo 2^32, and takes any 64-bit id.
     """
     if method == "xxhash64":
         return F.xxhash64(column.cast("long"), F.lit(seed))
     if method == "multiplicative":
         span = F.lit(1 << 32)
-        return F.pmod(F.pmod(column.cast("long") + F.lit(seed), span) * F.lit(2654435761), span)
+        within = F.pmod(F.pmod(column.cast("long"), span) + F.lit(seed), span)
+        return F.pmod(within * F.lit(MULTIPLIER), span)
     raise ValueError(f"Unknown key method: {method}")
 
 

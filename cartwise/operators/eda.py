@@ -14,7 +14,6 @@ from cartwise.functions.quantiles import long_form, quantiles, value_counts
 from cartwise.sources.schemas import TS_COL
 
 CUSTOMER_METRICS = ("num_purchases", "num_unique_items", "days_active")
-ITEM_METRICS = ("num_purchases", "num_customers")
 _QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 

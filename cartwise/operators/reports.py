@@ -145,16 +145,12 @@ def case_best_worst(
     ground_truth: DataFrame,
     k: int = 10,
     min_actual: int = 2,
-    first_customers: int | None = 1000,
 ) -> DataFrame:
     """The customers with the highest and lowest precision: two rows, ``case`` and figures.
 
-    Only customers with ``min_actual`` purchases qualify. ``first_customers``
-    looks at that many customers in id order, None at all of them.
+    Of all customers with ``min_actual`` purchases.
     """
     cases = customer_cases(predictions, ground_truth, k)
-    if first_customers is not None:
-        cases = cases.orderBy("customer_id").limit(first_customers)
     cases = cases.where(F.col("n_actual") >= min_actual)
     # best: a positive precision; worst: one below 1. The lower id wins a tie.
     row = F.struct("customer_id", "n_actual", "hits", "precision", "status")

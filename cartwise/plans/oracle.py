@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from cartwise import config
+from cartwise.functions.expressions import MULTIPLIER
 from cartwise.operators import reports
 from cartwise.plans.registry import (
     AGE_GROUPS,
@@ -35,7 +36,7 @@ def _score(n_features: int) -> str:
 
 def _key(column: str, seed: int = config.RANDOM_STATE) -> str:
     """The multiplicative hash of ``expressions.seeded_key`` for ids of 0 and above."""
-    return f"((({column} + {seed}) % 4294967296) * 2654435761) % 4294967296"
+    return f"((({column} % 4294967296) + {seed}) % 4294967296 * {MULTIPLIER}) % 4294967296"
 
 
 # Named parts; a part may use those above it.
@@ -394,7 +395,7 @@ def _metric(name: str) -> str:
 
 
 def _distribution(column: str) -> str:
-    return f"SELECT {column}, count(*) AS n_items FROM untidy GROUP BY {column}"
+    return f"SELECT {column}, count(*) AS n_items FROM items GROUP BY {column}"
 
 
 _FILE = """CASE feature_count WHEN 3 THEN 'metrics_3features' WHEN 5 THEN 'metrics_5features'
@@ -404,7 +405,7 @@ _TOP_CUSTOMERS = f"""
         SELECT customer_id, avg(score) AS avg_score FROM pred
         GROUP BY customer_id ORDER BY avg_score DESC, customer_id LIMIT {SUBMISSION_CUSTOMERS}"""
 _LIST = "string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank)"
-_PAIR_KEY = _key("(customer_id * 31 + item_id)")
+_PAIR_KEY = _key(f"(({_key('customer_id')}) * 31 + item_id % 4294967296)")
 
 BODIES: dict[str, str] = {
     "scan_transactions": "SELECT * FROM tx",
@@ -438,7 +439,7 @@ BODIES: dict[str, str] = {
     "ground_truth_from_label": 'SELECT customer_id, item_id FROM feat WHERE "Y" = 1',
     "time_window": "SELECT * FROM hist",
     "lookback_window": f"SELECT * FROM tx WHERE {_lookback(90)}",
-    "hash_sample": f"SELECT * FROM tx WHERE {_key('customer_id')} % 10 = 0",
+    "hash_sample": f"SELECT * FROM tx WHERE ({_key('customer_id')}) % 10 = 0",
     "sample_customers": f"""
         SELECT tx.* FROM tx JOIN (
             SELECT customer_id, row_number() OVER (ORDER BY {_key("customer_id")}) AS r,
@@ -446,7 +447,8 @@ BODIES: dict[str, str] = {
             FROM (SELECT DISTINCT customer_id FROM tx)) USING (customer_id)
         WHERE r <= floor(n * CAST(0.4 AS DOUBLE))""",
     "sample_rows_cap": f"""
-        SELECT customer_id, item_id, "Y" FROM feat WHERE {_PAIR_KEY} % 1000 < 200""",
+        SELECT customer_id, item_id, "Y" FROM feat
+        WHERE (SELECT count(*) FROM feat) <= 10000 OR ({_PAIR_KEY}) % 1000 < 200""",
     "restrict_customers": "SELECT * FROM hist WHERE customer_id IN (SELECT customer_id FROM recent)",
     "clean_transactions": """
         SELECT DISTINCT * FROM tx WHERE customer_id IS NOT NULL AND item_id IS NOT NULL
@@ -467,12 +469,6 @@ BODIES: dict[str, str] = {
             WHERE customer_id IS NOT NULL)
         WHERE r = 1""",
     "item_cooccurrence": "SELECT * FROM cooc",
-    "item_cooccurrence_by_customer": """
-        SELECT a.item_id AS "itemA", b.item_id AS "itemB", count(*) AS cooc_count
-        FROM (SELECT DISTINCT customer_id, item_id FROM hist) a
-             JOIN (SELECT DISTINCT customer_id, item_id FROM hist) b
-               ON a.customer_id = b.customer_id AND a.item_id < b.item_id
-        GROUP BY ALL""",
     "candidates_from_cooc": """
         SELECT customer_id, item_id FROM (
             SELECT customer_id, e.candidate AS item_id,
@@ -482,12 +478,12 @@ BODIES: dict[str, str] = {
                  JOIN (SELECT "itemA" AS item_id, "itemB" AS candidate, cooc_count AS n FROM cooc
                        UNION ALL SELECT "itemB", "itemA", cooc_count FROM cooc) e USING (item_id)
             GROUP BY customer_id, e.candidate)
-        WHERE r <= 20""",
+        WHERE r <= 200""",
     "cand_user_history": _history(90, 100),
     "cand_popular": _popular(90, 100),
     "cand_category": _category(90, 100),
     "cand_hybrid": _hybrid(90, 100),
-    "generate_candidates": _hybrid(300, 30),
+    "generate_candidates": _hybrid(300, 100),
     "filter_already_purchased": f"""
         SELECT customer_id, item_id FROM ({_history(90, 100)}) c
         WHERE NOT EXISTS (SELECT 1 FROM tx WHERE tx.customer_id = c.customer_id
@@ -600,20 +596,22 @@ BODIES: dict[str, str] = {
     "improvement_vs_constants": _against(13, reports.DEFAULT_BOOSTING),
     "impact_class": _against(10, reports.WITH_HISTORY),
     "comparison_summary": f"""
-        SELECT '2001-07-01 00:00:00' AS comparison_date, count(*) AS models_compared,
-               string_agg(CASE feature_count
+        SELECT '2001-07-01 00:00:00' AS comparison_date,
+               (SELECT count(*) FROM set_table) AS models_compared, feature_count,
+               CASE feature_count
                    {" ".join(f"WHEN {n} THEN '{t}'" for n, t in config.FEATURE_SET_NAMES.items())}
-                   END, '; ' ORDER BY feature_count) AS feature_sets
+                   END AS feature_set,
+               {", ".join(f"round({c}, 6) AS {c}" for c in ("p5", "p10", "p20", "r10", "r20", "ndcg10", "map10"))}
         FROM set_table""",
     "top_customers_by_score": f"""
         SELECT customer_id, round(avg_score, 6) AS avg_score FROM ({_TOP_CUSTOMERS})""",
     "submission_lists": f"""
         SELECT CAST(customer_id AS VARCHAR) AS customer_id, {_LIST} AS items
-        FROM pred SEMI JOIN ({_TOP_CUSTOMERS}) USING (customer_id)
+        FROM pred
         WHERE rank <= 10 GROUP BY customer_id""",
     "submission_json": f"""
         SELECT '{{"' || CAST(customer_id AS VARCHAR) || '":[' || {_LIST} || ']}}' AS value
-        FROM pred SEMI JOIN ({_TOP_CUSTOMERS}) USING (customer_id)
+        FROM pred
         WHERE rank <= 10 GROUP BY customer_id""",
     "submission_size": f"""
         SELECT count(*) AS n_customers, sum(length(line) + 1) / CAST(1048576 AS DOUBLE) AS size_mb,
@@ -714,9 +712,9 @@ BODIES: dict[str, str] = {
     ),
     "orphan_ids": """
         SELECT (SELECT count(DISTINCT customer_id) FROM tx WHERE customer_id NOT IN
-                  (SELECT customer_id FROM users WHERE customer_id % 7 <> 0)) AS orphan_customers,
+                  (SELECT customer_id FROM users)) AS orphan_customers,
                (SELECT count(DISTINCT item_id) FROM tx WHERE item_id NOT IN
-                  (SELECT item_id FROM items WHERE item_id % 10 <> 0)) AS orphan_items""",
+                  (SELECT item_id FROM items)) AS orphan_items""",
     "future_birth_dates": """
         SELECT count(*) AS n_future FROM users WHERE date_of_birth > DATE '2001-01-01'""",
     "prediction_overview": """
@@ -768,7 +766,7 @@ BODIES |= {
         SELECT count(*) AS n_truth, count(p.customer_id) AS n_predicted,
                round(count(p.customer_id) / CAST(count(*) AS DOUBLE) * 100, 6) AS coverage_pct
         FROM (SELECT DISTINCT customer_id FROM truth) t
-             LEFT JOIN (SELECT DISTINCT customer_id FROM pred WHERE score > 4) p USING (customer_id)""",
+             LEFT JOIN (SELECT DISTINCT customer_id FROM pred) p USING (customer_id)""",
 }
 
 ORACLE = {name: _with(body) for name, body in BODIES.items()}

@@ -48,14 +48,8 @@ SAMPLE_METHOD = "multiplicative"
 SUBMISSION_CUSTOMERS = 500
 COVERAGE_CUT_OFFS = (50, 250, 1000)
 BIRTH_REFERENCE = date(2001, 1, 1)
-# Small fits: the same code with fewer iterations.
-SMALL_BOOSTING = {"maxIter": 3, "maxDepth": 4}
-SMALL_FITS = {
-    "logistic": {"maxIter": 20},
-    "random_forest": {"numTrees": 5, "maxDepth": 5},
-    "xgboost": SMALL_BOOSTING,
-    "lightgbm": SMALL_BOOSTING,
-}
+# Labelled rows that the model queries fit on at most; scoring covers all rows.
+FIT_ROWS = 100_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -176,11 +170,6 @@ def load_table(spark, sf_dir):
     return readers.load_any_parquet(spark, "part", sf_dir)
 
 
-@query("table_files")
-def table_files(spark, sf_dir):
-    return readers.table_files(spark, sf_dir)
-
-
 @query("profile_table")
 def profile_table(spark, sf_dir):
     d = td.load_domain(spark, sf_dir)
@@ -214,7 +203,7 @@ def _metrics_folder(spark, sf_dir) -> str:
     }
     table = set_metrics(spark, sf_dir)
     for n, name in names.items():
-        rows = table.where(F.col("feature_count") == n).select("metric", "k", "value")
+        rows = table.where(F.col("feature_count") == n).select("metric", "k", "value", "feature_count")
         artifacts.write_metrics(rows, f"{folder}/{name}")
     return folder
 
@@ -229,7 +218,7 @@ def metrics_io(spark, sf_dir):
 def latest_artifact(spark, sf_dir):
     folder = _metrics_folder(spark, sf_dir)
     name = artifacts.latest_artifact(spark, folder, "metrics_")
-    return rounded(artifacts.read_metrics(spark, f"{folder}/{name}"))
+    return rounded(artifacts.read_metrics(spark, f"{folder}/{name}").drop("feature_count"))
 
 
 @query("metric_curves")
@@ -329,19 +318,12 @@ def item_cooccurrence(spark, sf_dir):
     return candidates.build_item_cooccurrence(td.load_domain(spark, sf_dir).hist, _BASKET)
 
 
-@query("item_cooccurrence_by_customer")
-def item_cooccurrence_by_customer(spark, sf_dir):
-    # Baskets of a customer's whole history, blocks small enough to be used.
-    hist = td.load_domain(spark, sf_dir).hist
-    return candidates.build_item_cooccurrence(hist, ["customer_id"], block_items=8)
-
-
 @query("candidates_from_cooc")
 def candidates_from_cooc(spark, sf_dir):
     hist = td.load_domain(spark, sf_dir).hist
     pairs = candidates.build_item_cooccurrence(hist, _BASKET)
     bought = hist.select("customer_id", "item_id").distinct()
-    return candidates.generate_candidates_from_cooc(bought, pairs, topn_per_customer=20)
+    return candidates.generate_candidates_from_cooc(bought, pairs)
 
 
 def _generated(strategy: str) -> Query:
@@ -369,7 +351,6 @@ def generate_candidates(spark, sf_dir):
         d.users,
         td.OBSERVATION_DATE,
         lookback_days=300,
-        max_candidates_per_user=30,
     )
 
 
@@ -501,7 +482,7 @@ def class_balance(spark, sf_dir):
 
 def _fit(kind: str, spark, sf_dir, params=None):
     table = staged_features(spark, sf_dir)
-    return models.train_model(table, model_type=kind, model_params=params or SMALL_FITS[kind])
+    return models.train_model(table, model_type=kind, model_params=params, max_fit_rows=FIT_ROWS)
 
 
 def _training(kind: str, params=None) -> Query:
@@ -516,7 +497,7 @@ QUERIES["train_logistic"] = _training("logistic")
 QUERIES["train_random_forest"] = _training("random_forest")
 QUERIES["train_gbt_xgb"] = _training("xgboost")
 QUERIES["train_gbt_lgbm"] = _training("lightgbm")
-QUERIES["train_gbt_tuned"] = _training("lightgbm", {**models.TUNED_PARAMS, **SMALL_BOOSTING})
+QUERIES["train_gbt_tuned"] = _training("lightgbm", models.TUNED_PARAMS)
 
 
 @query("training_accuracy")
@@ -548,7 +529,7 @@ def feature_importance(spark, sf_dir):
 
 @query("train_all")
 def train_all(spark, sf_dir):
-    return pipelines.train_all(staged_features(spark, sf_dir), model_params=SMALL_FITS)
+    return pipelines.train_all(staged_features(spark, sf_dir), max_fit_rows=FIT_ROWS)
 
 
 @query("rank_topk")
@@ -626,7 +607,7 @@ def mark_hits(spark, sf_dir):
 @query("case_best_worst")
 def case_best_worst(spark, sf_dir):
     return reports.case_best_worst(
-        staged_predictions(spark, sf_dir), _truth(spark, sf_dir), first_customers=None
+        staged_predictions(spark, sf_dir), _truth(spark, sf_dir)
     )
 
 
@@ -672,11 +653,7 @@ def impact_class(spark, sf_dir):
 @query("comparison_summary")
 def comparison_summary(spark, sf_dir):
     summary = reports.comparison_summary(set_metrics(spark, sf_dir), "2001-07-01 00:00:00")
-    return summary.select(
-        "comparison_date",
-        "models_compared",
-        F.array_join(F.col("results.feature_set"), "; ").alias("feature_sets"),
-    )
+    return rounded(summary.select("comparison_date", "models_compared", F.inline("results")))
 
 
 # --- submission -------------------------------------------------------------
@@ -690,8 +667,7 @@ def top_customers_by_score(spark, sf_dir):
 
 
 def _lists(spark, sf_dir) -> DataFrame:
-    kept = submission.keep_top_customers(staged_predictions(spark, sf_dir), SUBMISSION_CUSTOMERS)
-    return submission.submission_lists(kept)
+    return submission.submission_lists(staged_predictions(spark, sf_dir))
 
 
 @query("submission_lists")
@@ -757,7 +733,7 @@ QUERIES["category_volume"] = _over_transactions_items(eda.category_volume)
 
 def _distribution(column: str) -> Query:
     return lambda spark, sf_dir: eda.value_distribution(
-        _untidy_items(spark, sf_dir), column
+        td.load_domain(spark, sf_dir).items, column
     )
 
 
@@ -826,9 +802,7 @@ def duplicate_rows(spark, sf_dir):
 @query("orphan_ids")
 def orphan_ids(spark, sf_dir):
     d = td.load_domain(spark, sf_dir)
-    return eda.orphan_ids(
-        d.transactions, d.items.where("item_id % 10 <> 0"), d.users.where("customer_id % 7 <> 0")
-    )
+    return eda.orphan_ids(d.transactions, d.items, d.users)
 
 
 @query("future_birth_dates")
@@ -894,5 +868,6 @@ def coverage_tradeoff(spark, sf_dir):
 
 @query("truth_coverage")
 def truth_coverage(spark, sf_dir):
-    served = staged_predictions(spark, sf_dir).where("score > 4")
-    return rounded(reports.truth_coverage(served, _truth(spark, sf_dir)))
+    return rounded(
+        reports.truth_coverage(staged_predictions(spark, sf_dir), _truth(spark, sf_dir))
+    )

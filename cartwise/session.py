@@ -32,16 +32,32 @@ def build_session(app_name: str = "cartwise", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+# Temporary folders of sessions that run in one process, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
+    """This application's own folder in the one that all executors can reach.
 
-    Only where the session names none (a laptop, a test) a temporary one is used.
+    That is ``spark.checkpoint.dir`` of the session, or the checkpoint directory of its
+    context. Where neither is set, a session in one process (``local``) gets a temporary
+    one; on a cluster it is an error, as executors do not share their local folders.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="cartwise-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="cartwise-")
+        folder = _LOCAL[context.applicationId]
+    return f"{folder.rstrip('/')}/cartwise-{context.applicationId}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Removes every table that this application stored in the shared folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -23,6 +23,7 @@ METRICS = T.StructType(
         T.StructField("metric", T.StringType()),
         T.StructField("k", T.IntegerType()),
         T.StructField("value", T.DoubleType()),
+        T.StructField("feature_count", T.LongType()),
     ]
 )
 
@@ -51,7 +52,8 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """The long metric table as JSON lines. It has one row per metric and k."""
+    """The long metric table as JSON lines. It has one row per metric and k, and the
+    number of features of the model where the table states it."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
 
@@ -59,26 +61,13 @@ def read_metrics(spark: SparkSession, path_glob: str) -> DataFrame:
     """All metric tables a glob matches, with the name of the directory of each."""
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return spark.read.schema(METRICS).json(path_glob).select(
-        folder.alias("file_name"), "metric", "k", "value"
-    )
-
-
-def feature_count_of(file_name_column: str = "file_name"):
-    """The size of a feature set from the name of its metrics file; null if unknown."""
-    name = F.col(file_name_column)
-    return (
-        F.when(name.contains("without_history"), 10)
-        .when(name.contains("3features"), 3)
-        .when(name.contains("5features"), 5)
-        .when(name.contains("9features"), 9)
-        .when(name.contains("tuned"), 13)
-        .cast("long")
+        folder.alias("file_name"), "metric", "k", "value", "feature_count"
     )
 
 
 def feature_set_metrics(metrics: DataFrame) -> DataFrame:
     """``(feature_count, metric, k, value)``: the latest file, by name, of each set."""
-    sized = metrics.withColumn("feature_count", feature_count_of()).where("feature_count is not null")
+    sized = metrics.where("feature_count is not null")
     latest = sized.groupBy("feature_count").agg(F.max("file_name").alias("file_name"))
     return sized.join(latest, ["feature_count", "file_name"], "left_semi").select(
         "feature_count", "metric", "k", "value"

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import SF_DIR
 
+from cartwise import session
 from cartwise.plans import registry
 
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -41,3 +45,28 @@ def test_pairs_are_not_shuffled_while_features_are_made(spark):
     before_fan_out = text.split("Generate posexplode", 1)[0]
     assert "Generate posexplode" in text
     assert "Exchange" not in before_fan_out
+
+
+class _Session:
+    """As much of a session as the choice of the shared folder looks at."""
+
+    def __init__(self, master, folder=None, checkpoint=None):
+        context = type("C", (), {"master": master, "applicationId": f"app-{master}", "getCheckpointDir": lambda _: checkpoint})
+        self.sparkContext = context()
+        self.conf = type("F", (), {"get": lambda _, key, default: folder})()
+
+
+def test_shared_folder():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(_Session(master))
+        assert session.shared_folder(_Session(master, "hdfs:///x/")) == f"hdfs:///x/cartwise-app-{master}"
+        assert session.shared_folder(_Session(master, None, "s3a://y")) == f"s3a://y/cartwise-app-{master}"
+    local = session.shared_folder(_Session("local[2]"))
+    assert local == session.shared_folder(_Session("local[2]"))
+
+
+def test_stored_tables_are_dropped(spark):
+    stored = session.materialize(spark.range(3), "dropped")
+    path = stored.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and session.shared_folder(spark) in path
