@@ -28,9 +28,11 @@ def cap_key(cap_mode: str) -> Column:
     raise ValueError(f"Unknown cap mode: {cap_mode}")
 
 
-def first_n(df: DataFrame, group: list[str], order: list, n: int) -> DataFrame:
-    """Rows ``<= n`` per group. Spark keeps only n rows per group and task
-    before the shuffle, so a hot group sends n rows per task, not all of them."""
+def first_n(df: DataFrame, group: list[str], order: list, n: int | None) -> DataFrame:
+    """Rows ``<= n`` per group, all if n is None. Spark keeps only n rows per group and
+    task before the shuffle, so a hot group sends n rows per task, not all of them."""
+    if n is None:
+        return df
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
 
@@ -184,6 +186,10 @@ def popular_items(rows: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _third(budget: int | None) -> int | None:
+    return None if budget is None else budget // 3
+
+
 def _item_list(rows: DataFrame) -> Column:
     """The ids of a table of bounded size as one array value. Attaching the value
     to every customer takes neither a join nor a shuffle."""
@@ -194,10 +200,10 @@ def user_history_candidates(
     transactions: DataFrame,
     observation_date: datetime,
     lookback_days: int,
-    max_candidates: int,
+    max_candidates: int | None,
     cap_mode: str = "id",
 ) -> DataFrame:
-    """Pairs bought in the look-back window, at most ``max_candidates`` per customer."""
+    """Pairs bought in the look-back window, at most ``max_candidates`` per customer (None: all)."""
     pairs = (
         lookback_window(transactions, observation_date, lookback_days)
         .select("customer_id", "item_id")
@@ -226,12 +232,14 @@ def _category_lists(
     items: DataFrame,
     observation_date: datetime,
     lookback_days: int,
-    max_candidates: int,
+    max_candidates: int | None,
     rank_by: str,
+    top_categories: int | None = TOP_CATEGORIES,
 ) -> DataFrame:
     """Per (customer, favourite category): the popular items of that category.
 
-    At most three rows per customer and ``max_candidates // 3`` ids per row.
+    At most ``top_categories`` rows per customer (None: all its categories) and
+    ``max_candidates // 3`` ids per row (None: all items bought in the category).
     """
     if rank_by not in ("count", "id"):
         raise ValueError(f"Unknown ranking: {rank_by}")
@@ -250,10 +258,10 @@ def _category_lists(
     by_item = bought.groupBy("category", "item_id").agg(F.sum("n").alias("n"))
     count_first = [F.desc("n")] if rank_by == "count" else []
     favourites = first_n(
-        by_customer, ["customer_id"], [*count_first, F.asc("category")], TOP_CATEGORIES
+        by_customer, ["customer_id"], [*count_first, F.asc("category")], top_categories
     )
     best_items = (
-        first_n(by_item, ["category"], [*count_first, F.asc("item_id")], max_candidates // 3)
+        first_n(by_item, ["category"], [*count_first, F.asc("item_id")], _third(max_candidates))
         .groupBy("category")
         .agg(F.collect_list("item_id").alias("category_items"))
     )
@@ -265,16 +273,17 @@ def category_candidates(
     items: DataFrame,
     observation_date: datetime,
     lookback_days: int,
-    max_candidates: int,
+    max_candidates: int | None,
     rank_by: str = "count",
+    top_categories: int | None = TOP_CATEGORIES,
 ) -> DataFrame:
-    """Popular items of each customer's three favourite categories.
+    """Popular items of each customer's favourite categories, three unless told otherwise.
 
     Three categories of ``max_candidates // 3`` items never exceed
     ``max_candidates``, so no further cap is needed: it could not bind.
     """
     lists = _category_lists(
-        transactions, items, observation_date, lookback_days, max_candidates, rank_by
+        transactions, items, observation_date, lookback_days, max_candidates, rank_by, top_categories
     )
     return lists.select("customer_id", F.explode("category_items").alias("item_id"))
 
@@ -285,28 +294,33 @@ def hybrid_candidates(
     users: DataFrame,
     observation_date: datetime,
     lookback_days: int,
-    max_candidates: int,
+    max_candidates: int | None,
     cap_mode: str = "id",
     rank_by: str = "count",
+    top_categories: int | None = TOP_CATEGORIES,
 ) -> DataFrame:
-    """Union of the three strategies, each with a third of the budget.
+    """Union of the three strategies, each with a third of the budget (None: no limit but
+    for popular items, which every customer would get).
 
     The three parts are brought together as arrays per customer, each of at most
     ``max_candidates // 3`` ids, so duplicates go without shuffling the pairs.
     The thirds add up to no more than ``max_candidates``.
     """
-    third = max_candidates // 3
+    third = _third(max_candidates)
     history = (
         user_history_candidates(transactions, observation_date, lookback_days, third, cap_mode)
         .groupBy("customer_id")
         .agg(F.collect_list("item_id").alias("ids"))
     )
     categories = (
-        _category_lists(transactions, items, observation_date, lookback_days, third, rank_by)
+        _category_lists(
+            transactions, items, observation_date, lookback_days, third, rank_by, top_categories
+        )
         .groupBy("customer_id")
         .agg(F.flatten(F.collect_list("category_items")).alias("ids"))
     )
-    top = popular_items(lookback_window(transactions, observation_date, lookback_days), third)
+    window = lookback_window(transactions, observation_date, lookback_days)
+    top = popular_items(window, config.TOP_K_POPULAR_ITEMS if third is None else third)
     popular = users.select("customer_id").distinct().withColumn("ids", _item_list(top))
     merged = (
         popular.withColumnRenamed("ids", "p")
@@ -327,19 +341,31 @@ def generate_candidates(
     observation_date: datetime,
     strategy: str = "hybrid",
     lookback_days: int = config.DEFAULT_LOOKBACK_DAYS,
-    max_candidates_per_user: int = 100,
+    max_candidates_per_user: int | None = 100,
+    cap_mode: str = "id",
+    rank_by: str = "count",
+    top_categories: int | None = TOP_CATEGORIES,
 ) -> DataFrame:
-    """Candidates by strategy: user_history, popular_items, category_based or hybrid."""
+    """Candidates by strategy: user_history, popular_items, category_based or hybrid.
+
+    ``max_candidates_per_user`` is the budget, None for no limit (popular items need one);
+    ``cap_mode`` chooses what a cap keeps of a customer's history (``id``, ``hash``), ``rank_by``
+    what it keeps of a category (``count``, ``id``), ``top_categories`` the favourites looked at.
+    """
     window = (observation_date, lookback_days, max_candidates_per_user)
     match strategy:
         case "user_history":
-            return user_history_candidates(transactions, *window)
+            return user_history_candidates(transactions, *window, cap_mode)
         case "popular_items":
+            if max_candidates_per_user is None:
+                raise ValueError("popular_items needs max_candidates_per_user")
             return popular_candidates(transactions, users, *window)
         case "category_based":
-            return category_candidates(transactions, items, *window)
+            return category_candidates(transactions, items, *window, rank_by, top_categories)
         case "hybrid":
-            return hybrid_candidates(transactions, items, users, *window)
+            return hybrid_candidates(
+                transactions, items, users, *window, cap_mode, rank_by, top_categories
+            )
     raise ValueError(f"Unknown strategy: {strategy}")
 
 

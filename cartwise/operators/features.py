@@ -294,6 +294,8 @@ def _features_of_generated_pairs(
     end_hist: datetime,
     include_positives: bool,
     cap_mode: str,
+    top_n: int,
+    max_per_customer: int | None,
 ) -> DataFrame:
     # One row per customer, read three times below: for the category sets, the
     # label window's pairs and the fan-out. Written once, it is computed once.
@@ -306,7 +308,7 @@ def _features_of_generated_pairs(
         ),
         "profile",
     )
-    pools = category_set_pools(profile, dimension, items, cap_mode=cap_mode)
+    pools = category_set_pools(profile, dimension, items, top_n, max_per_customer, cap_mode)
     bought = _bought_pairs(recent, items, profile, pools, cap_mode)
     # At most top_n + cap entries per customer: only generated pairs are listed.
     hits = (
@@ -355,16 +357,19 @@ def training_candidates(
     items: DataFrame,
     include_positives: bool = True,
     cap_mode: str = "id",
+    top_n: int = config.TOP_K_POPULAR_ITEMS,
+    max_per_customer: int | None = config.MAX_CANDIDATES_PER_USER,
 ) -> DataFrame:
-    """Distinct pairs from three sources: bought in the label window; the 50 most
-    popular items for every customer with history; up to 200 items per customer
-    that share a category with the customer's history."""
+    """Distinct pairs from three sources: bought in the label window; the ``top_n`` most
+    popular items for every customer with history; up to ``max_per_customer`` items per
+    customer (None: all) that share a category with the customer's history. These two are the
+    candidate budget; ``cap_mode`` says which items it keeps."""
     dimension = item_dimension(hist, items)
     bought_from = customer_profile(hist, dimension.drop("popularity"), ("category",))
     customers = materialize(
         bought_from.select("customer_id", "category_rows", category_set()), "category-sets"
     )
-    pools = category_set_pools(customers, dimension, items, cap_mode=cap_mode)
+    pools = category_set_pools(customers, dimension, items, top_n, max_per_customer, cap_mode)
     generated = unfold_pools(
         customers.repartition(fan_out_partitions(customers), "customer_id").join(
             pools, "category_set"
@@ -388,6 +393,8 @@ def build_feature_label_table(
     candidates: DataFrame | None = None,
     include_positives: bool = True,
     cap_mode: str = "id",
+    top_n: int = config.TOP_K_POPULAR_ITEMS,
+    max_per_customer: int | None = config.MAX_CANDIDATES_PER_USER,
 ) -> DataFrame:
     """X1..X13 and Y per (customer, item) pair.
 
@@ -404,7 +411,7 @@ def build_feature_label_table(
     if candidates is not None:
         return _features_of_given_pairs(candidates, hist, recent, items, end_hist)
     return _features_of_generated_pairs(
-        hist, recent, items, end_hist, include_positives, cap_mode
+        hist, recent, items, end_hist, include_positives, cap_mode, top_n, max_per_customer
     )
 
 

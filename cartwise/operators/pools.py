@@ -22,13 +22,13 @@ def category_set_pools(
     dimension: DataFrame,
     items: DataFrame,
     top_n: int = config.TOP_K_POPULAR_ITEMS,
-    cap: int = config.MAX_CANDIDATES_PER_USER,
+    cap: int | None = config.MAX_CANDIDATES_PER_USER,
     cap_mode: str = "id",
 ) -> DataFrame:
     """One row per distinct ``category_set`` of ``customers``, given the counted items
     of the history (``dimension``) and the catalogue:
 
-    ``category_pool``  the first ``cap`` items of the set's categories;
+    ``category_pool``  the first ``cap`` items of the set's categories (None: all);
     ``pool_end``       the last entry of that pool;
     ``top_items``      the ``top_n`` popular items, the same on every row.
 

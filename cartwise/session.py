@@ -74,5 +74,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def fan_out_partitions(df: DataFrame) -> int:
     """Partitions for a step whose output is hundreds of times its input: by the
-    cores there are, as the small input would otherwise be packed into few tasks."""
-    return 2 * df.sparkSession.sparkContext.defaultParallelism
+    cores there are, as the small input would otherwise be packed into few tasks, and no
+    fewer than the session's shuffle partitions."""
+    spark = df.sparkSession
+    stated = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(2 * spark.sparkContext.defaultParallelism, stated)

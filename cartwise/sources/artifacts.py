@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +33,20 @@ def _finished(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def features_cache(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+def features_cache(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], **options
+) -> DataFrame:
     """The feature table at ``path``; built and written first if it is not there.
 
+    ``options`` (windows, candidate budget and whatever else the table depends on) are part
+    of the path that is read and written, so a table made under others is not returned.
+
     A directory without its success marker is the rest of a failed write and is
     built again.
     """
+    if options:
+        stated = "\n".join(f"{k}={options[k]!r}" for k in sorted(options))
+        path = f"{path.rstrip('/')}-{sha256(stated.encode()).hexdigest()[:16]}"
     if not _finished(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

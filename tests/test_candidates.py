@@ -121,3 +121,25 @@ def test_recent_purchases_are_removed(make):
     pairs = make([(1, 5), (1, 6), (1, 7), (2, 5)], PAIRS)
     # The look-back window is half open: a purchase on the day itself is outside.
     assert rows_of(C.filter_already_purchased(pairs, rows, DAY)) == [(1, 6), (1, 7), (2, 5)]
+
+
+def test_budgets_are_arguments(make):
+    history = make(
+        [(1, i, datetime(2024, 5, 20)) for i in range(9)] + [(2, 100, datetime(2024, 5, 20))],
+        "customer_id long, item_id long, created_date timestamp_ntz",
+    )
+    items = make([(i, f"c{i % 5}") for i in range(9)] + [(100, "c0")], "item_id long, category string")
+    users = make([(1,), (2,)], "customer_id long")
+
+    def generated(strategy, **options):
+        found = C.generate_candidates(history, items, users, datetime(2024, 6, 1), strategy, **options)
+        return {r.item_id for r in found.where("customer_id = 1").collect()}
+
+    assert generated("user_history", max_candidates_per_user=None) == set(range(9))
+    assert generated("user_history", max_candidates_per_user=4) == {0, 1, 2, 3}
+    assert len(generated("user_history", max_candidates_per_user=4, cap_mode="hash")) == 4
+    everything = {*range(9), 100}
+    assert generated("category_based", max_candidates_per_user=None, top_categories=None) == everything
+    assert generated("hybrid", max_candidates_per_user=None, top_categories=None) == everything
+    with pytest.raises(ValueError, match="max_candidates_per_user"):
+        generated("popular_items", max_candidates_per_user=None)

@@ -205,6 +205,9 @@ def test_stored_tables(spark, make, tmp_path):
     for _ in range(2):
         assert artifacts.features_cache(spark, f"{tmp_path}/features", build).count() == 1
     assert len(calls) == 1
+    for end in (1, 2, 1):
+        artifacts.features_cache(spark, f"{tmp_path}/features", build, end=end)
+    assert len(calls) == 3
     names = {"metrics_a_3features": 3, "metrics_b_3features": 3, "metrics_other": None, "metrics_tuned": 13}
     for name, size in names.items():
         artifacts.write_metrics(make([("precision", 5, 0.5, size)], artifacts.METRICS), f"{tmp_path}/{name}")
