@@ -14,8 +14,9 @@ to index pairs of: it is left out, and a set can afford to leave out as many of
 segments) as m exceeds what its own size needs. A pair with one such set is found by other keys.
 Sets that would have to leave out more (members of large groups, small sets) are joined among
 themselves by their rarest tokens (the quarter of a set that a partner must hit). Before that, each set
-of a hot key is verified against one representative of the key, so that a large group is one class
-already; tokens whose sets are all of one class make no pairs, others make pairs across classes only.
+of a hot key is verified against a representative of the key, and then, in rounds, against a few others of its
+tokens, so that a large group is one class already; tokens whose sets are all of one class make no pairs,
+others make pairs across classes only.
 
 Verification. Pairs that share too few keys for their sizes are dropped by count, an exact bound; the
 others are compared token by token. Links become classes by least-label propagation with pointer
@@ -41,12 +42,16 @@ from cartwise.llm import common as C
 from cartwise.session import materialize
 
 SHINGLE = 5
-HOT = 24
+HOT = 16
 SMALL = 40
 SPARE = 1.16
 CHARS_PER_PARTITION = 8_000_000
 FLUSH = 2_000_000
 PREFIX_BITS = 40
+#: Ids of sets to be compared are sent to all tasks up to this many (16 bytes each), and joined by shuffling beyond.
+SENT_NODES = 1_000_000
+#: Rounds in which sets of large groups try PARTNERS others each, met in stretches of about STRETCH.
+ROUNDS, PARTNERS, STRETCH = 6, 4, 512
 ONE = np.uint64(0xA0761D6478BD642F)
 
 
@@ -63,6 +68,7 @@ def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 LOW, SEGMENTS, IS_SMALL = _bands()
+SMALL_TOP = int(LOW[IS_SMALL.sum()]) - 1
 
 
 def _scheme(n: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,8 +237,15 @@ def _meetings(found: pa.Table) -> pa.Table:
     kinds, a, b = kinds[order], a[order], b[order]
     new = np.flatnonzero(np.concatenate([[True], (kinds[1:] != kinds[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)])
     times = np.diff(np.concatenate([new, [len(a)]]))
+    kinds, a, b = kinds[new], a[new], b[new]
+    # Of a set's representatives in this partition the most frequent will do.
+    order = np.lexsort((a, -times, b, kinds))
+    star, b_ = kinds[order] == 1, b[order]
+    again = np.concatenate([[False], star[1:] & star[:-1] & (b_[1:] == b_[:-1])])[: len(order)]
+    keep = np.sort(order[~again])
+    kinds, a, b, times = kinds[keep], a[keep], b[keep], times[keep]
     return pa.table(
-        {"kind": pa.array(kinds[new], pa.int8()), "a": a[new], "b": b[new], "times": pa.array(times, pa.int32())}
+        {"kind": pa.array(kinds.astype(np.int8)), "a": a, "b": b, "times": pa.array(times, pa.int32())}
     )
 
 
@@ -244,22 +257,27 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for first, end, data, offsets in C.chunks(batch.column("text")):
                 row, token = C.word_shingles(data, offsets, SHINGLE)
                 cut = np.searchsorted(row, np.arange(end - first + 1))
-                yield pa.RecordBatch.from_arrays(
+                n = np.diff(cut)
+                own = pa.RecordBatch.from_arrays(
                     [
                         batch.column("node").slice(first, end - first),
-                        pa.array(np.diff(cut).astype(np.int32)),
+                        pa.array(n.astype(np.int32)),
                         pa.array([token[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
                     ],
                     names=["node", "n", "tokens"],
                 )
+                # A repeated doc_id may bring other texts: the digest tells them apart.
+                right = _node(row, token, n) == own.column("node").to_numpy()
+                yield own.filter(pa.array(right))
 
+    if wanted.count() <= SENT_NODES:
+        wanted = F.broadcast(wanted)
     rows = docs.select("doc_id", "text").where("text is not null").join(wanted, "doc_id").select("node", "text")
-    # A repeated doc_id may bring other sets under a node: the digest tells them apart.
-    return rows.mapInArrow(run, "node long, n int, tokens binary").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, n int, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of nodes that link, compared token by token."""
+    """The (a, b) of nodes that link, compared token by token; ``pairs`` is a stored table."""
 
     def run(batches):
         for batch in batches:
@@ -273,6 +291,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int32()))
 
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    # Only the sets of these pairs are moved.
+    if ends.count() <= SENT_NODES:
+        sets = sets.join(F.broadcast(ends), "node", "left_semi")
     x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
@@ -299,6 +321,57 @@ def classes(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
         labels = new.select("id", "label")
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) with the classes that ``links`` connect as one."""
+    edges = links
+    for end in ("a", "b"):
+        edges = edges.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end)
+    edges = edges.where("a_label <> b_label").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    found = classes(edges).withColumnRenamed("label", "least")
+    new = labels.join(found.withColumnRenamed("id", "label"), "label", "left")
+    return materialize(new.select("node", F.coalesce("least", "label").alias("label")), "labels")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes are in different classes."""
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end)
+    return pairs.where("a_label <> b_label").select("a", "b")
+
+
+def _neighbours(prefix: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Pairs across classes, PARTNERS for a node: of those next to each other in the tokens' lists, which are
+    dealt by chance into stretches of some hundreds."""
+    rows = prefix.join(labels, "node")
+    chance = F.xxhash64(F.lit(turn), "node")
+    stretch = F.pmod(F.xxhash64(F.lit(turn + 1000), "node"), F.ceil(F.col("often") / STRETCH))
+    line = W.partitionBy("token", stretch).orderBy(chance)
+    following = F.lead(F.struct("node", "n", "label")).over(line)
+    pairs = rows.select("node", "n", "label", following.alias("y")).where(
+        "label <> y.label and 4 * least(n, y.n) >= 3 * greatest(n, y.n)"
+    )
+    pairs = pairs.select(F.least("node", "y.node").alias("a"), F.greatest("node", "y.node").alias("b")).distinct()
+    few = W.partitionBy("a").orderBy(F.xxhash64(F.lit(turn), "a", "b"))
+    return pairs.withColumn("place", F.row_number().over(few)).where(F.col("place") <= PARTNERS).select("a", "b")
+
+
+def _across(prefix: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs across classes that can link: sets with ``common`` tokens in common have one among the first
+    n - common + 1 of either, in one order of all tokens (the rarest first)."""
+    rows = prefix.join(labels, "node")
+    split = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    rows = materialize(rows.join(split.select("token"), "token").select("token", "node", "n", "label", "place"), "prefix")
+    common = "ceil(3 * (l.n + r.n) / 7)"
+    left, right = rows.alias("l"), rows.alias("r")
+    return (
+        left.join(right, F.col("l.token") == F.col("r.token"))
+        .where("l.label <> r.label and (l.n < r.n or l.n = r.n and l.node < r.node) and 4 * l.n >= 3 * r.n")
+        .where(f"l.place <= l.n - {common} + 1 and r.place <= r.n - {common} + 1")
+        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        .distinct()
+    )
+
+
 def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row of ``docs`` (doc_id, text).
 
@@ -333,48 +406,57 @@ def components(docs: DataFrame) -> DataFrame:
     pairs = resolved(met.where("kind = 0").groupBy("a", "b").agg(F.sum("times").alias("times")))
     unusable = F.least(F.when(F.col("x.m") == F.col("y.m"), F.col("x.e0")).otherwise(F.col("x.e1")), F.col("y.e0"))
     need = F.col("y.m") - F.floor((F.col("x.n") + F.col("y.n")) / 7) - unusable - F.least("x.hot", "y.hot")
-    pairs = pairs.where((F.col("y.n") <= SMALL * 4 // 3) | (F.col("times") >= need))
-    stars = resolved(met.where("kind = 1").groupBy("a", "b").agg(F.sum("times").alias("times")))
-    best = W.partitionBy("y").orderBy(F.col("times").desc(), F.col("x"))
-    stars = stars.withColumn("place", F.row_number().over(best)).where("place <= 2")
-    both = pairs.select("x", "y").unionByName(stars.select("x", "y"))
-    both = materialize(both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
+    pairs = pairs.where((F.col("y.n") <= SMALL_TOP) | (F.col("times") >= need))
+    stars = met.where("kind = 1").groupBy("a", "b").agg(F.sum("times").alias("times"))
+    best = W.partitionBy("b").orderBy(F.col("times").desc(), F.col("a"))
+    stars = resolved(stars.withColumn("place", F.row_number().over(best)).where("place <= 2").drop("place"))
+    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("times") / F.col("y.m")).alias("share"))
+    stars = stars.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.lit(None).cast("double").alias("share"))
+    both = materialize(pairs.unionByName(stars).groupBy("a", "b").agg(F.max("share").alias("share")), "pairs")
 
     over = full.where("n >= 3 and hot > spare").select("node")
-    wanted = both.select(F.col("a").alias("node")).unionByName(both.select(F.col("b").alias("node"))).unionByName(over).distinct()
-    sets = materialize(_sets(docs, wanted.join(nodes.select("node", "doc_id"), "node")), "sets")
-    links = materialize(_verified(both, sets), "links")
-    first = classes(links)
-
-    # Sets that leave out too many keys: by their rarest tokens, across classes.
-    over = over.join(first.withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    ends = both.select(F.col("a").alias("node")).unionByName(both.select(F.col("b").alias("node")))
+    wanted = materialize(ends.unionByName(over).distinct().join(nodes.select("node", "doc_id"), "node"), "wanted")
+    sets = materialize(_sets(docs, wanted.select("node", "doc_id")), "sets")
+    if not sets.groupBy("node").count().where("count > 1").isEmpty():  # repeated rows
+        sets = materialize(sets.dropDuplicates(["node"]), "sets")
+    labels = wanted.select("node", F.col("node").alias("label"))
+
+    # First each set's most similar partner, by the share of keys; then the pairs that this left in two classes.
+    nearest = [W.partitionBy(end).orderBy(F.col("share").desc(), "a", "b") for end in ("a", "b")]
+    placed = both.withColumns({f"by_{end}": F.row_number().over(w) for end, w in zip("ab", nearest, strict=True)})
+    placed = materialize(placed.withColumn("early", F.expr("share is null or by_a = 1 or by_b = 1")), "placed")
+    found = [materialize(_verified(placed.where("early"), sets), "links")]
+    labels = _joined(labels, found[-1])
+    found.append(materialize(_verified(materialize(_apart(placed.where("not early"), labels), "pairs"), sets), "links"))
+    labels = _joined(labels, found[-1])
+
+    # Then the sets that leave out too many keys, by their rarest tokens: a few partners each while that joins
+    # many, at last all pairs across classes.
     tokens = materialize(_tokens(sets.join(over, "node")), "tokens")
     often = tokens.groupBy("token").agg(F.count("*").alias("often"))
     order = W.partitionBy("node").orderBy("often", "token")
     prefix = tokens.join(often, "token").withColumn("place", F.row_number().over(order))
-    prefix = prefix.where("place <= n - ceil(n * 3 / 4) + 1").select("node", "n", "label", "token")
-    split = prefix.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    prefix = materialize(prefix.join(split.select("token"), "token"), "prefix")
-    left, right = prefix.alias("l"), prefix.alias("r")
-    across = (
-        left.join(right, F.col("l.token") == F.col("r.token"))
-        .where("l.label <> r.label and (l.n < r.n or l.n = r.n and l.node < r.node) and 4 * l.n >= 3 * r.n")
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-        .distinct()
-    )
-    more = materialize(_verified(across, sets), "links")
-    if not more.isEmpty():
+    prefix = materialize(prefix.where("often > 1 and place <= n - ceil(n * 3 / 4) + 1"), "prefix")
+    for turn in range(ROUNDS):
+        pairs = materialize(_neighbours(prefix, labels, turn), "pairs")
+        tried = pairs.count()
+        found.append(materialize(_verified(pairs, sets), "links"))
+        labels = _joined(labels, found[-1])
+        if 50 * found[-1].count() <= tried:
+            break
+    found.append(materialize(_verified(materialize(_across(prefix, labels), "pairs"), sets), "links"))
+    labels = _joined(labels, found[-1])
+
+    links = found[0]
+    for more in found[1:]:
         links = links.unionByName(more)
-    named = links
-    for side in ("a", "b"):
-        named = named.join(nodes.select(F.col("node").alias(side), F.col("doc_id").alias(f"{side}_id")), side)
-    named = materialize(named.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")), "links")
-    found = classes(named)
-    ends = named.select("a").unionByName(named.select(F.col("b").alias("a")))
-    degree = ends.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_links"))
-    named_nodes = nodes.select("node", F.col("doc_id").alias("id"))
-    info = named_nodes.join(found, "id", "left").join(degree, "id", "left")
-    info = materialize(info.select("node", F.coalesce("label", "id").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
+    both_ends = links.select("a").unionByName(links.select(F.col("b").alias("a")))
+    degree = both_ends.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
+    smallest = labels.join(nodes.select("node", "doc_id"), "node").groupBy("label").agg(F.min("doc_id").alias("smallest"))
+    info = nodes.select("node", "doc_id").join(labels, "node", "left").join(smallest, "label", "left").join(degree, "node", "left")
+    info = info.select("node", F.coalesce("smallest", "doc_id").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    info = materialize(info, "classes")
     return described.select("doc_id", "node", "n").join(info, "node").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
@@ -384,7 +466,7 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def _tokens(sets: DataFrame) -> DataFrame:
-    """(node, n, label, token): one row for each token of a set."""
+    """(node, n, token): one row for each token of a set."""
 
     def run(batches):
         for batch in batches:
@@ -392,15 +474,13 @@ def _tokens(sets: DataFrame) -> DataFrame:
                 token = np.frombuffer(batch.column("tokens")[i].as_buffer(), np.int64)
                 for a in range(0, len(token), 100_000):
                     part = token[a : a + 100_000]
-                    node, n, label = (batch.column(c)[i].as_py() for c in ("node", "n", "label"))
+                    node, n = (batch.column(c)[i].as_py() for c in ("node", "n"))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), x)) for x in (node, n, label)] + [pa.array(part)],
-                        names=["node", "n", "label", "token"],
+                        [pa.array(np.full(len(part), x)) for x in (node, n)] + [pa.array(part)],
+                        names=["node", "n", "token"],
                     )
 
-    return sets.select("node", F.col("n").cast("long").alias("n"), "label", "tokens").mapInArrow(
-        run, "node long, n long, label long, token long"
-    )
+    return sets.select("node", F.col("n").cast("long").alias("n"), "tokens").mapInArrow(run, "node long, n long, token long")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

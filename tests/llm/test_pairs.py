@@ -105,6 +105,11 @@ def test_jaccard_join_of_no_and_repeated_rows(spark, make):
     docs = make([(2, "a b c d e f"), (2, "a b c d e f"), (1, "A b c d e f"), (None, None)], "doc_id long, text string")
     found = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in jac.components(docs).collect())
     assert found == [(0, 0, 0), (1, 2, 1), (2, 2, 1), (2, 2, 1)]
+    long = " ".join(f"w{i}" for i in range(60))
+    docs = make([(4, long), (4, long), (3, f"{long} more"), (5, f"less {long}"), (4, "other words under one id")], "doc_id long, text string")
+    found = sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jac.components(docs).collect())
+    # All three long sets link; the links that were needed to see it are counted.
+    assert [f[:3] for f in found] == [(3, 57, 3), (4, 1, 4), (4, 56, 3), (4, 56, 3), (5, 57, 3)]
 
 
 def test_jaccard_join_of_a_very_long_text(make):
