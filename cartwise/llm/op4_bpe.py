@@ -37,9 +37,9 @@ from cartwise.llm import common as C
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BUCKETS = 1 << 13
-REPEATS = 8
-BLOCK_PIECES = 500_000
-WORDS_HELD = 400_000
+REPEATS = 4
+BLOCK_PIECES = 250_000
+WORDS_HELD = 250_000
 NONE = 2**31 - 1
 
 
