@@ -1,13 +1,13 @@
 """Chat formatting: tool calls linked with their results.
 
 Calls and results are hash-joined by conversation and identifier. Calls are ordered by level: one more than the
-highest level among the calls they depend on. Each round of joins settles the calls whose dependencies are all
-settled; each round is a table in the shared folder. What no round settles lies on a cycle (or behind one) and gets
-level -1. Arguments are parsed and validated against the tool's schema (the keywords type, required, properties,
+highest level among the calls they depend on. Conversations of up to EDGES_OF_A_SMALL dependencies are walked in a
+task, many in each; larger ones take a round of joins for each level, a table in the shared folder, which settles
+the calls whose dependencies are all settled. What is never settled lies on a cycle (or behind one): level -1. Arguments are parsed and validated against the tool's schema (the keywords type, required, properties,
 additionalProperties, items, enum, minimum, maximum, minLength, maxLength). Each call becomes a line of canonical
 JSON: keys sorted, no white space, whole numbers without a fraction, text as it is.
 
-A conversation's calls never meet in one task: joins are by call. The reading order of a conversation is (level, turn,
+The calls of a large conversation never meet in one task: joins are by call. The reading order of a conversation is (level, turn,
 call_id). Of several results of a call the first by (turn, content) is linked; ``n_results`` counts all. Results
 without a call come last as rows of status ``orphan``. Of repeated call ids in a conversation the first by (turn,
 name, arguments) counts. Dependencies on unknown calls are ignored and reported as errors. Null arguments are an
@@ -27,6 +27,8 @@ from cartwise.llm import common as C
 from cartwise.session import materialize
 
 KEY = ["conv_id", "call_id"]
+#: Conversations of at most so many edges are ordered in a task, with others up to about EDGES_A_TASK.
+EDGES_OF_A_SMALL, EDGES_A_TASK = 20_000, 100_000
 #: The tool that the query reads out of conversations, and its arguments' schema.
 SCHEMAS = {
     "ask": {
@@ -95,36 +97,78 @@ def _no_constants(name):
     raise ValueError(name)
 
 
+def _small_levels(edges: DataFrame, n_edges: int) -> DataFrame:
+    """(conv_id, call_id, level) of the calls that depend on others, in conversations of few edges: many of these
+    meet in one task, about EDGES_A_TASK edges."""
+    types = dict(edges.dtypes)
+
+    def run(found):
+        on: dict[tuple, list] = {}
+        for conv, call, dependency in zip(*(found.column(c).to_pylist() for c in (*KEY, "on")), strict=True):
+            on.setdefault((conv, call), []).append((conv, dependency))
+        waiting = {call: len(deps) for call, deps in on.items()}
+        users: dict[tuple, list] = {}
+        for call, deps in on.items():
+            for dependency in deps:
+                users.setdefault(dependency, []).append(call)
+        level = {call: 1 for call in users if call not in on}
+        ready = list(level)
+        for call in ready:  # grows while it is walked
+            for user in users.get(call, ()):
+                level[user] = max(level.get(user, 0), level[call] + 1)
+                waiting[user] -= 1
+                if not waiting[user]:
+                    ready.append(user)
+        done = [c for c in ready if c in on]
+        return pa.table(
+            {
+                "conv_id": pa.array([c[0] for c in done], found.schema.field("conv_id").type),
+                "call_id": pa.array([c[1] for c in done], found.schema.field("call_id").type),
+                "level": pa.array([level[c] for c in done], pa.int32()),
+            }
+        )
+
+    deal = F.pmod(F.xxhash64("conv_id"), F.lit(max(1, math.ceil(n_edges / EDGES_A_TASK))))
+    schema = f"conv_id {types['conv_id']}, call_id {types['call_id']}, level int"
+    return edges.groupBy(deal.alias("deal")).applyInArrow(lambda found: run(found), schema)
+
+
+def _large_levels(edges: DataFrame) -> DataFrame:
+    """The same for conversations of any size, a round of joins for each level."""
+    calls = edges.select(*KEY).distinct()
+    roots = edges.select("conv_id", F.col("on").alias("call_id")).distinct().join(calls, KEY, "left_anti")
+    newest = materialize(roots.withColumn("level", F.lit(1)), "levels")
+    edges = edges.withColumn("level", F.lit(None).cast("int"))
+    parts = []
+    while not newest.isEmpty():
+        # Of the edges, those on the calls settled last are met; a call is ready when all of its edges are.
+        met = newest.select("conv_id", F.col("call_id").alias("on"), F.col("level").alias("newer"))
+        edges = edges.join(met, ["conv_id", "on"], "left").select(*KEY, "on", F.coalesce("level", "newer").alias("level"))
+        edges = materialize(edges, "edges")
+        ready = edges.groupBy(*KEY).agg(F.max("level").alias("last"), F.count_if(F.col("level").isNull()).alias("open"))
+        last = len(parts) + 1
+        newest = ready.where((F.col("open") == 0) & (F.col("last") == last)).select(*KEY, (F.col("last") + 1).alias("level"))
+        newest = materialize(newest, "levels")
+        parts.append(newest)
+    found = edges.select(*KEY, "level").limit(0)
+    for part in parts:
+        found = found.unionByName(part)
+    return found
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of distinct calls (conv_id, call_id, depends)."""
     edges = calls.select(*KEY, F.explode("depends").alias("on")).distinct()
     known = calls.select("conv_id", F.col("call_id").alias("on"))
     edges = materialize(edges.join(known, ["conv_id", "on"], "left_semi"), "edges")
-    waiting = edges.select(*KEY).distinct()
-    settled = calls.select(*KEY).join(waiting, KEY, "left_anti").withColumn("level", F.lit(1))
-    settled = materialize(settled, "levels")
-    parts, newest = [settled], settled
-    while True:
-        # Of the edges, those on calls settled last are met; a call is ready when all of its edges are.
-        met = newest.select("conv_id", F.col("call_id").alias("on"), "level")
-        edges = materialize(
-            edges.drop("level").join(met, ["conv_id", "on"], "left") if "level" not in edges.columns
-            else edges.join(met.withColumnRenamed("level", "newer"), ["conv_id", "on"], "left").select(
-                *KEY, "on", F.coalesce("level", "newer").alias("level")
-            ),
-            "edges",
-        )
-        ready = edges.groupBy(*KEY).agg(F.max("level").alias("level"), F.count_if(F.col("level").isNull()).alias("open"))
-        last = newest.agg(F.max("level")).first()[0]
-        newest = ready.where((F.col("open") == 0) & (F.col("level") == last)).select(*KEY, (F.col("level") + 1).alias("level"))
-        newest = materialize(newest, "levels")
-        if newest.isEmpty():
-            break
-        parts.append(newest)
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return calls.select(*KEY).join(found, KEY, "left").withColumn("level", F.coalesce("level", F.lit(-1)))
+    sizes = edges.groupBy("conv_id").count()
+    large = materialize(sizes.where(F.col("count") > EDGES_OF_A_SMALL).select("conv_id"), "large")
+    found = _small_levels(edges.join(large, "conv_id", "left_anti"), edges.count())
+    if not large.isEmpty():
+        found = found.unionByName(_large_levels(edges.join(large, "conv_id")))
+    waiting = edges.select(*KEY).distinct().withColumn("waits", F.lit(True))
+    out = calls.select(*KEY).join(waiting, KEY, "left").join(found, KEY, "left")
+    return out.select(*KEY, F.coalesce("level", F.when(F.col("waits"), F.lit(-1)).otherwise(F.lit(1))).alias("level"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:

@@ -226,6 +226,16 @@ def test_cascade_is_exact_with_many_keys(spark):
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, depends array<string>, json string"
 
 
+@pytest.mark.parametrize("small", [0, 20_000])
+def test_levels_of_chains_and_diamonds(make, monkeypatch, small):
+    monkeypatch.setattr(tools, "EDGES_OF_A_SMALL", small)
+    rows = [(1, str(i), [str(i - 1)] if i else None) for i in range(12)]
+    rows += [(2, "a", []), (2, "b", ["a"]), (2, "c", ["a", "b"]), (2, "d", ["a", "c", "gone"]), (3, "x", ["y"]), (3, "y", ["x"]), (3, "z", ["x"])]
+    found = {(r.conv_id, r.call_id): r.level for r in tools.levels(make(rows, "conv_id long, call_id string, depends array<string>")).collect()}
+    want = {(1, str(i)): i + 1 for i in range(12)} | {(2, c): n for n, c in enumerate("abcd", 1)} | {(3, c): -1 for c in "xyz"}
+    assert found == want
+
+
 def test_tool_calls(make):
     calls = make(
         [
