@@ -177,8 +177,9 @@ def _numbered(batches, names: list[str]):
                 first, words, sizes = i + 1, [], []
 
 
-def _gathered(batches, names: list[str], ranks: dict[bytes, int]):
-    """The rows of the blocks, with the ids of their words as bytes."""
+def _gathered(batches, names: list[str], ranks: dict[bytes, int], decoded: bool):
+    """The rows of the blocks, with the ids of their words as bytes; and what the ids decode to, if ``decoded``."""
+    pieces = {rank: piece for piece, rank in ranks.items()} if decoded else {}
     first, size = np.zeros(0, np.int64), np.zeros(0, np.int64)
     ids = np.zeros(0, "<u4")
     for batch in batches:
@@ -201,15 +202,24 @@ def _gathered(batches, names: list[str], ranks: dict[bytes, int]):
             words = np.frombuffer(batch.column("sizes")[i].as_buffer(), np.int32)
             own = size[codes]
             ends = np.cumsum(own)
-            found = ids[np.repeat(first[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+            numbers = ids[np.repeat(first[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+            found = numbers.tobytes()
             edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words)])] * 4
             rows = batch.column("rows")[i].values
             encoded = pa.array([found[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(rows.field(n) for n in names), encoded], names=[*names, "ids"])
-
-
-def encode(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str | None = None) -> DataFrame:
-    """``keep`` and ``ids`` (little-endian unsigned 32-bit integers) of every row's whole text."""
+            columns, titles = [*(rows.field(n) for n in names), encoded], [*names, "ids"]
+            if decoded:
+                parts = list(map(pieces.__getitem__, numbers.tolist()))
+                texts = [b"".join(parts[a // 4 : b // 4]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                columns, titles = [*columns, pa.array(texts, pa.binary())], [*titles, "decoded"]
+            yield pa.RecordBatch.from_arrays(columns, names=titles)
+
+
+def encode(
+    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str | None = None, decoded: bool = False
+) -> DataFrame:
+    """``keep`` and ``ids`` (little-endian unsigned 32-bit integers) of every row's whole text; with ``decoded`` also
+    the bytes that the ids decode to, in the same pass."""
     ranks = load_ranks(path or public_tokenizers.path(VOCABULARY))
     rows = docs.select(*keep, F.col("text").alias("_text"))
     names = list(keep)
@@ -218,7 +228,8 @@ def encode(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str | Non
     made = C.with_fields(made, codes="binary", sizes="binary", often="array<string>", rare="array<string>", which="binary", begin="boolean")
     blocks = rows.mapInArrow(lambda b: _numbered(b, names), made)
     encoded = blocks.select("rows", "codes", "sizes", fold_merges(F.col("often"), ranks).alias("encoded"), "rare", "which", "begin")
-    return encoded.mapInArrow(lambda b: _gathered(b, names, ranks), C.with_fields(kept, ids="binary"))
+    made = C.with_fields(kept, ids="binary", **({"decoded": "binary"} if decoded else {}))
+    return encoded.mapInArrow(lambda b: _gathered(b, names, ranks, decoded), made)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -244,7 +255,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, encoded and decoded again."""
-    found = decode(encode(C.table(spark, sf_dir, "documents")))
+    found = encode(C.table(spark, sf_dir, "documents"), decoded=True)
     return found.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

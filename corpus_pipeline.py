@@ -64,7 +64,7 @@ def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Every document's token ids (base64 of little-endian 32-bit integers), their number, and digests of
     the ids and of the bytes that they decode to."""
     C.ship(spark)
-    found = bpe.decode(bpe.encode(docs, keep=("doc_id",)))
+    found = bpe.encode(docs, keep=("doc_id",), decoded=True)
     return found.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -94,6 +94,8 @@ def test_bpe_is_what_tiktoken_does(make, monkeypatch, repeats):
     texts = [*odd_texts(2, 120), None, "", "the the " * 3000, "y" * 2000]
     docs = make([(i, t, b"x", 0) for i, t in enumerate(texts)] + [(0, texts[0], b"x", 0)], "doc_id long, text string, ids binary, codes int")
     found = bpe.decode(bpe.encode(docs)).collect()
+    once = bpe.encode(docs, decoded=True).collect()
+    assert sorted((r.doc_id, r.ids, r.decoded) for r in once) == sorted((r.doc_id, r.ids, r.decoded) for r in found)
     assert len(found) == len(texts) + 1
     for r in found:
         text = texts[r.doc_id] or ""
