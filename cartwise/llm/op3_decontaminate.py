@@ -89,10 +89,12 @@ def phrases(docs: DataFrame, wins: DataFrame) -> DataFrame:
     placed = placed.withColumns(
         {"place": F.row_number().over(rarest), "least": F.min("often").over(W.partitionBy("win"))}
     )
-    anchors = materialize(placed.where(f"least > 0 and place <= {ANCHORS}").select("win", "term", "offset"), "anchors")
+    anchors = materialize(placed.where(f"least > 0 and place <= {ANCHORS}").select("win", "term", "offset", "place"), "anchors")
     index = postings(docs, anchors.select("term").distinct())
-    starts = index.join(_small(anchors), "term").select("key", "doc_id", "win", (F.col("pos") - F.col("offset")).alias("start"))
-    agreed = starts.where("start >= 0").groupBy("key", "doc_id", "win", "start").agg(F.count("*").alias("agreed"))
+    starts = index.join(_small(anchors), "term").select("key", "doc_id", "win", "place", (F.col("pos") - F.col("offset")).alias("start"))
+    # Anchors are counted by their bits, not by postings: equal rows have one key and leave each posting several times.
+    bits = F.bit_count(F.bit_or(F.expr("shiftleft(1L, place)")))
+    agreed = starts.where("start >= 0").groupBy("key", "doc_id", "win", "start").agg(bits.alias("agreed"))
     needed = F.least(F.size("words"), F.lit(ANCHORS))
     agreed = agreed.join(_small(wins), "win").where(F.col("agreed") == needed)
     return agreed.groupBy("key", "doc_id").agg(F.collect_list(F.struct("start", "words", "items")).alias("starts"))

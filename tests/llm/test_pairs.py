@@ -158,6 +158,15 @@ def test_decontamination_is_exact(make):
         assert (r.n_words, r.n_hit, list(r["items"])) == plain_overlap(r.text, items), r.text
 
 
+def test_equal_rows_keep_their_hits(make):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    text = f"before {item} after"
+    bench = make([(1, item), (2, "so so so so")], "item_id long, text string")
+    docs = make([(7, text)] * 3 + [(None, text)] * 2 + [(8, "so so so so so")] * 2, "doc_id long, text string")
+    found = dec.overlaps(docs, bench).select("doc_id", "n_hit", dec.is_contaminated().alias("is")).collect()
+    assert len(found) == 7 and all(r["is"] and r.n_hit == (5 if r.doc_id == 8 else 13) for r in found)
+
+
 def test_decontamination_of_empty_tables(make):
     docs, none = make([(1, "a b c")], "doc_id long, text string"), make([], "item_id long, text string")
     assert [(r.n_words, r.n_hit, r["items"]) for r in dec.overlaps(docs, none).collect()] == [(3, 0, [])]
