@@ -13,8 +13,9 @@ host are merged in two steps, by a salt and then by host, so that a host with an
 SALTS wrappers. Wrappers are as large as a page's distinct labels; they go to all tasks if they are at most
 SENT_BYTES in all, and are joined by host and salt otherwise.
 
-Null, empty and broken pages give what text there is, else an empty one; a null url is the host ''. Depth beyond
-DEPTH is cut flat, text stays. Repeated rows are extracted alike. Columns besides those named are not looked at.
+Null, empty and broken pages give what text there is, else an empty one; a null url is the host ''. Elements
+beyond DEPTH are closed by their own end tags and places in them that are no content are left out; only their
+nodes are folded into the one at DEPTH. Repeated rows are extracted alike. Columns besides those named are not looked at.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -75,20 +77,30 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("", "", False)
-        self.open = [self.root]
+        #: Of each open element: its tag, the node that takes its content, what it adds to ``count``.
+        self.open = [("", self.root, ())]
+        self.count = Counter()
+
+    def cut(self, i):
+        """Closes the open elements from place ``i`` on."""
+        while len(self.open) > i:
+            tag, node, counted = self.open.pop()
+            self.count.subtract(counted)
+            if counted[-1] == "flat" and tag not in INLINE:
+                node.children.append("\n")
 
     def handle_starttag(self, tag, attrs):
         for closed in CLOSES.get(tag, ()):
-            for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].tag == closed:
-                    del self.open[i:]
+            for i in range(len(self.open) - 1, 0, -1) if self.count[closed] else ():
+                if self.open[i][0] == closed:
+                    self.cut(i)
                     break
-                if self.open[i].tag in SCOPE:
+                if self.open[i][0] in SCOPE:
                     break
         got = {k: v or "" for k, v in attrs}
         names = f"{got.get('class', '')} {got.get('id', '')}".lower()
         words = set(re.split(r"[^a-z]+", names))
-        inside = any(n.tag in ("article", "main") for n in self.open)
+        inside = self.count["article"] > 0 or self.count["main"] > 0
         out = (
             tag in OUT_TAGS
             or tag == "header" and not inside
@@ -99,27 +111,40 @@ class _Builder(HTMLParser):
             or "display:none" in got.get("style", "").replace(" ", "").lower()
         )
         label = " ".join([tag, *sorted(re.sub(r"[\W\d_]+", "", w) for w in got.get("class", "").lower().split())])
-        node = Node(label, tag, out and tag not in ("html", "body"))
-        self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < DEPTH:
-            self.open.append(node)
+        node, parent = Node(label, tag, out and tag not in ("html", "body")), self.open[-1][1]
+        if tag in VOID:
+            parent.children.append(node)
+            return
+        counted = (tag,)
+        if len(self.open) >= DEPTH:
+            # Deeper elements are open like others, but only places out of the content, articles and links get a node.
+            kind = "deep out" if node.out else "deep mark" if tag in ("article", "main") else "deep a" if tag == "a" else "flat"
+            if kind == "flat" or self.count[kind]:
+                if tag not in INLINE:
+                    parent.children.append("\n")
+                self.open.append((tag, parent, (tag, "flat")))
+                self.count.update((tag, "flat"))
+                return
+            counted = (tag, kind)
+        parent.children.append(node)
+        self.open.append((tag, node, counted))
+        self.count.update(counted)
 
     def handle_startendtag(self, tag, attrs):
-        depth = len(self.open)
         self.handle_starttag(tag, attrs)
-        if len(self.open) > depth or self.open[-1].tag == tag:
-            self.open.pop()
+        if tag not in VOID:
+            self.cut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
+        for i in range(len(self.open) - 1, 0, -1) if self.count[tag] else ():
+            if self.open[i][0] == tag:
+                self.cut(i)
                 return
-            if self.open[i].tag in SCOPE and tag not in SCOPE:
+            if self.open[i][0] in SCOPE and tag not in SCOPE:
                 return
 
     def handle_data(self, data):
-        self.open[-1].children.append(data)
+        self.open[-1][1].children.append(data)
 
 
 def parse(html: str | None) -> Node:

@@ -179,6 +179,15 @@ def test_main_text_by_wrapper(make):
     assert pages.extract(make([], "page_id long, url string, html string")).count() == 0
 
 
+def test_main_text_of_deep_pages():
+    nest = "<div>" * 70 + "deep<nav>menu</nav><script>code</script> text" + "</div>" * 70
+    page = f"<div id=page><article><p>before</p>{nest}<p>after</p></article><p>outside</div>"
+    assert pages.main_text(pages.parse(page), None) == "before deep text after"
+    deep = "<div>" * 70 + "gone<article>here<nav>no</nav><b>!</b></article>" + "</div>" * 70 + "<p>gone"
+    assert pages.main_text(pages.parse(deep), None) == "here!"
+    assert pages.main_text(pages.parse("<div>" * 5000 + "a<div>b</div>" + "</div>" * 5000 + "c"), None) == "a b c"
+
+
 def test_main_text_with_wrappers_joined(make, monkeypatch):
     rows = [(n, f"http://h{n % 2}.example/", SITE.format(n=n)) for n in range(24)]
     frame = make(rows, "page_id long, url string, html string")
