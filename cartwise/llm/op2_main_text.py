@@ -1,17 +1,19 @@
 """HTML extraction by wrapper induction.
 
-Pages become trees of elements and texts. Siblings of one label (tag and classes) that follow each other are one
-repeated node. All pages of a host are aligned, one after the other, by simple tree matching: the most pairs of
-equal labels that keep order and ancestry. The wrapper that grows is the union of the trees; each node knows how many
-pages had it and how often its text was the same. Nodes whose text is constant over CONSTANT of at least
-MIN_PAGES pages are template; the others are slots. A slot is content unless its place says otherwise: menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, comments by tag, role or class; blocks that are mostly links
-where a page marks no article. With ``article`` or ``main`` in the page, content lies in them.
-
-Each task aligns the pages it has (equal pages count once in it) and leaves one wrapper for each host; wrappers of a
-host are merged in two steps, by a salt and then by host, so that a host with any number of pages meets in at most
-SALTS wrappers. Wrappers are as large as a page's distinct labels; they go to all tasks if they are at most
-SENT_BYTES in all, and are joined by host and salt otherwise.
+Pages become trees of blocks; text in the line belongs to its block. Siblings of one label (tag, classes, whether tag,
+role or class call it no content) that follow each other are one repeated node. All pages of a host are aligned by simple
+tree matching: the most pairs of equal labels that keep order and ancestry. The wrapper is the union of the trees. Then
+each page is aligned with its host's whole wrapper, and Spark sums on how many different pages each text stands at each
+node (and at each path of labels that several nodes share). Texts on CONSTANT of the pages that have text there, of at
+least MIN_PAGES, are template; the others are slots. Content lies where most of a host's varying text is; menus, headers,
+sidebars, notices, adverts, forms, comments by tag, role or class are out unless they hold more than half of it, and
+``article`` or ``main`` bound it if they hold half of the rest. Hosts of fewer than MIN_PAGES different pages go by tags,
+roles and classes alone. An element that holds the marked article is never out. Scripts and styles always are.
+
+Each task leaves one wrapper for each host, merged by a salt and then by host, so that a host with any number of pages
+meets in at most SALTS wrappers. Counts are exact for a given wrapper; where several alignments score alike, the order
+of merging decides the wrapper's shape. Wrappers go to all tasks if they are at most SENT_BYTES in all, and are joined by
+host and salt otherwise.
 
 Null, empty and broken pages give what text there is, else an empty one; a null url is the host ''. Elements
 beyond DEPTH are closed by their own end tags and places in them that are no content are left out; only their
@@ -24,6 +26,8 @@ import json
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
+from hashlib import blake2b
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -36,7 +40,6 @@ from cartwise.session import materialize
 
 CONSTANT, MIN_PAGES = 0.9, 8
 SALTS, SENT_BYTES, DEPTH = 32, 8 << 20, 60
-LABELS_OF_A_NODE = 400
 
 #: Fixed values of HTML: elements without content, without shown text, in the line, and what a start tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -65,12 +68,12 @@ OWN_WORDS = frozenset("article post entry story title headline".split())
 
 
 class Node:
-    __slots__ = ("label", "tag", "out", "children", "pages", "text", "same")
+    __slots__ = ("label", "tag", "out", "children", "place")
 
     def __init__(self, label: str, tag: str, out: bool):
-        self.label, self.tag, self.out = label, tag, out
+        self.label, self.tag, self.out = f"{label} !" if out else label, tag, out
         self.children: list[Node | str] = []
-        self.pages, self.text, self.same = 1, 0, 0
+        self.place = 0
 
 
 class _Builder(HTMLParser):
@@ -163,37 +166,76 @@ def _elements(node: Node) -> list[Node]:
     return [c for c in node.children if isinstance(c, Node)]
 
 
-def _own_text(node: Node) -> int:
-    """A hash of the text that is directly in a node; 0 for none."""
-    text = " ".join(" ".join(c for c in node.children if isinstance(c, str)).split())
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) or 1 if text else 0
+def _blocks(node: Node) -> Iterator[Node]:
+    """The blocks in a node, also those inside its elements in the line."""
+    for child in _elements(node):
+        if child.tag in INLINE and not child.out:
+            yield from _blocks(child)
+        elif child.tag not in UNSHOWN and child.tag not in VOID:
+            yield child
+
+
+def _own_text(node: Node) -> str:
+    """The text of a block with that of its elements in the line, without that of blocks in it."""
+    parts: list[str] = []
+
+    def walk(n):
+        for child in n.children:
+            if isinstance(child, str):
+                parts.append(child)
+            elif child.tag in INLINE and not child.out:
+                walk(child)
+
+    walk(node)
+    return " ".join("".join(parts).split())
+
+
+def _hash(text: str) -> int:
+    """64 bits; never 0."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) or 1
 
 
 def skeleton(node: Node) -> list:
-    """[label, pages, text, same, children]: a page as a wrapper of one page. Repeated siblings are one node,
-    whose text is that of the first if all are equal, else of none."""
+    """[label, blocks, place, varied, children]: a page as a wrapper of one page. Siblings of one label that follow
+    each other are one repeated node that knows all its blocks; their texts are counted one by one (``_counted``)."""
     runs: list[list] = []
-    for child in _elements(node):
-        if child.tag in UNSHOWN or child.tag in VOID:
-            continue
+    for child in _blocks(node):
         made = skeleton(child)
         if runs and runs[-1][0] == made[0]:
-            runs[-1] = _merged(runs[-1], made, repeated=True)
+            runs[-1] = _merged(runs[-1], made)
         else:
             runs.append(made)
-    text = _own_text(node)
-    return [node.label, 1, text, 1 if text else 0, runs]
+    return [node.label, [node], 0, 0, runs]
+
+
+def _shape(wrapper: list) -> list:
+    """Labels and children alone."""
+    return [wrapper[0], [_shape(c) for c in wrapper[4]]]
+
+
+def _wrapper(shape: list) -> list:
+    return [shape[0], [], 0, 0, [_wrapper(c) for c in shape[1]]]
+
+
+def _nodes(wrapper: list) -> Iterator[list]:
+    yield wrapper
+    for child in wrapper[4]:
+        yield from _nodes(child)
 
 
 def _matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching of two lists of children: the score and the pairs of places."""
-    if not a or not b:
+    # Children whose label the other side lacks have no partner; without them the tables stay small.
+    labels = {x[0] for x in a} & {y[0] for y in b}
+    if not labels:
         return 0, []
+    at, bt = ([i for i, x in enumerate(side) if x[0] in labels] for side in (a, b))
+    a, b = [a[i] for i in at], [b[j] for j in bt]
     weights = [[0] * len(b) for _ in a]
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             if x[0] == y[0]:
-                weights[i][j] = 1 + _matching(x[4], y[4])[0]
+                weights[i][j] = 1 + (_matching(x[4], y[4])[0] if x[4] and y[4] else 0)
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a)):
         row, above, weight = best[i + 1], best[i], weights[i]
@@ -207,44 +249,117 @@ def _matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
             j -= 1
         else:
             i, j = i - 1, j - 1
-            pairs.append((i, j))
+            pairs.append((at[i], bt[j]))
     return best[-1][-1], pairs[::-1]
 
 
-def _merged(a: list, b: list, repeated: bool = False) -> list:
-    """The union of two aligned wrappers (of two siblings of one page, if ``repeated``)."""
+def _merged(a: list, b: list) -> list:
+    """The union of two aligned wrappers."""
     _, pairs = _matching(a[4], b[4])
     children, i, j = [], 0, 0
     for x, y in [*pairs, (len(a[4]), len(b[4]))]:
         children += a[4][i:x] + b[4][j:y]
         if x < len(a[4]):
-            children.append(_merged(a[4][x], b[4][y], repeated))
+            children.append(_merged(a[4][x], b[4][y]))
         i, j = x + 1, y + 1
-    if len(children) > LABELS_OF_A_NODE:  # a node whose children never align is a slot as a whole
-        children = []
-    pages = max(a[1], b[1]) if repeated else a[1] + b[1]
-    if a[2] == b[2]:
-        return [a[0], pages, a[2], max(a[3], b[3]) if repeated else a[3] + b[3], children]
-    if repeated:
-        return [a[0], pages, 0, 0, children]
-    first = a if a[3] >= b[3] else b
-    return [a[0], pages, first[2], first[3], children]
-
-
-def _has_template(wrapper: list) -> bool:
-    return bool(wrapper[1] >= MIN_PAGES and wrapper[2] and wrapper[3] >= CONSTANT * wrapper[1]) or any(map(_has_template, wrapper[4]))
-
-
-def _template(wrapper: list, page: list, found: dict) -> None:
-    """Hashes of the template texts by path of labels, from the page's alignment with the wrapper."""
-
-    def walk(w, p, path):
-        if w[1] >= MIN_PAGES and w[3] >= CONSTANT * w[1] and w[2]:
-            found.setdefault(path, set()).add(w[2])
-        for i, j in _matching(w[4], p[4])[1]:
-            walk(w[4][i], p[4][j], (*path, p[4][j][0]))
-
-    walk(wrapper, page, ())
+    return [a[0], a[1] + b[1], 0, 0, children]
+
+
+class Wrapper:
+    """The wrapper of a host: aligned nodes, numbered; with counts, what is template and where content lies."""
+
+    def __init__(self, text: str, facts: str | None = None):
+        self.root, self.classes, self.known = _wrapper(json.loads(text)), {}, {}
+        paths: dict[tuple, list[int]] = {}
+        number = 0
+
+        def walk(w, path):
+            nonlocal number
+            number += 1
+            w[2] = number
+            paths.setdefault(path, []).append(number)
+            for c in w[4]:
+                walk(c, (*path, c[0]))
+
+        walk(self.root, ())
+        #: Places of one path of labels, by which texts are counted too: alignment may deal them differently by page.
+        self.classes = {n: -same[0] for same in paths.values() if len(same) > 1 for n in same}
+        self.template: set[tuple[int, int]] = set()
+        self.content: set[int] = set()
+        self.marks, self.counts = True, bool(facts)
+        if facts:
+            given = json.loads(facts)
+            self.template = {tuple(t) for t in given["template"]}
+            self._choose({place: n for place, n in given["varied"]})
+
+    def _choose(self, varied: dict[int, int]) -> None:
+        """Content lies where most of the varying text is. Tags, roles and words of class decide the rest: a place that
+        they call no content is content if it holds more than half; article and main bound it if they hold half."""
+        total: dict[int, int] = {}
+
+        def add(w):
+            total[w[2]] = varied.get(w[2], 0) + sum(map(add, w[4]))
+            return total[w[2]]
+
+        add(self.root)
+        if not total[1]:
+            return
+        self.content = {w[2] for w in _nodes(self.root) if w[0].endswith(" !") and 2 * total[w[2]] > total[1]}
+
+        def seen(w, marked):
+            """Varying text in content places, and of it in article or main."""
+            if w[0].endswith(" !") and w[2] not in self.content:
+                return 0, 0
+            marked = marked or w[0].split(" ")[0] in ("article", "main")
+            own = varied.get(w[2], 0)
+            parts = [seen(c, marked) for c in w[4]]
+            return own + sum(p[0] for p in parts), (own if marked else 0) + sum(p[1] for p in parts)
+
+        shown, marked = seen(self.root, False)
+        self.marks = 2 * marked >= shown
+
+    def align(self, root: Node) -> None:
+        """Gives the page's blocks the places of the wrapper's nodes; pages of one shape are aligned once."""
+        page = skeleton(root)
+        shape = _hash(json.dumps(_shape(page)))
+        if shape not in self.known:
+
+            def walk(w, p):
+                p[2] = w[2]
+                for i, j in _matching(w[4], p[4])[1]:
+                    walk(w[4][i], p[4][j])
+
+            walk(self.root, page)
+            if len(self.known) > 50:
+                self.known.clear()
+            self.known[shape] = [run[2] for run in _nodes(page)]
+        for run, place in zip(_nodes(page), self.known[shape], strict=True):
+            for node in run[1]:
+                node.place = place
+
+    def constant(self, node: Node) -> bool:
+        if not self.template or not node.place:
+            return False
+        text = _own_text(node)
+        made = _hash(text) if text else 0
+        return (node.place, made) in self.template or (self.classes.get(node.place), made) in self.template
+
+    def counted(self, root: Node) -> dict[tuple[int, int], int]:
+        """Characters by (place, text's hash) of an aligned page; hash 0 is the place as a whole."""
+        found: dict[tuple[int, int], int] = {(1, 0): 0}
+
+        def walk(node):
+            text = _own_text(node) if node.place else ""
+            if text:
+                made = _hash(text)
+                for place in {node.place, self.classes.get(node.place, node.place)}:
+                    for key in ((place, made), (place, 0)):
+                        found[key] = found.get(key, 0) + len(text)
+            for child in _blocks(node):
+                walk(child)
+
+        walk(root)
+        return found
 
 
 def _links(node: Node) -> tuple[int, int, int]:
@@ -258,49 +373,51 @@ def _links(node: Node) -> tuple[int, int, int]:
     return text, inside, links
 
 
-def main_text(root: Node, wrapper: list | None) -> str:
+def main_text(root: Node, wrapper: Wrapper | None) -> str:
     """The content of a page: the slots of its wrapper that lie in content places."""
-    template: dict = {}
     if wrapper:
-        _template(wrapper, skeleton(root), template)
-    marked = []
+        wrapper.align(root)
+    content_places = wrapper.content if wrapper else ()
+    marked: list[Node] = []
+    around: set[int] = set()
 
-    def mark(node, tag):
+    def mark(node, tag, above, enter):
         for child in _elements(node):
-            if child.out:
+            if child.tag in UNSHOWN or child.out and child.place not in content_places and (not enter or child.tag == tag):
                 continue
             if child.tag == tag:
                 marked.append(child)
+                around.update(map(id, above))
             else:
-                mark(child, tag)
+                mark(child, tag, (*above, child), enter)
 
-    for tag in ("article", "main"):
-        if not marked:
-            mark(root, tag)
+    # An article inside a place that is no content by its class counts only where no other is.
+    for tag, enter in (("article", False), ("main", False), ("article", True), ("main", True)):
+        if not marked and (not wrapper or wrapper.marks):
+            mark(root, tag, (), enter)
     inside = {id(n) for n in marked}
     blocks: list[list[str]] = [[]]
 
-    def walk(node, path, content):
-        constant = _own_text(node) in template.get(path, ()) if template.get(path) else False
+    def walk(node, content, constant):
         for child in node.children:
             if isinstance(child, str):
                 if content and not constant:
                     blocks[-1].append(child)
             elif child.tag == "br":
                 blocks[-1].append("\n")
-            elif not child.out:
-                block = child.tag not in INLINE
+            elif not child.out or child.place in content_places and child.place or id(child) in around:
+                block = child.tag not in INLINE or child.out
                 if block:
                     if not marked and child.tag in ("ul", "ol", "div", "p", "table"):
                         text, linked, links = _links(child)
                         if links > 2 and linked > 0.6 * text:
                             continue
                     blocks.append([])
-                walk(child, (*path, child.label), content or id(child) in inside)
+                walk(child, content or id(child) in inside, wrapper is not None and wrapper.constant(child) if block else constant)
                 if block:
                     blocks.append([])
 
-    walk(root, (), not marked)
+    walk(root, not marked, wrapper is not None and wrapper.constant(root))
     return " ".join(filter(None, (" ".join("".join(b).split()) for b in blocks)))
 
 
@@ -309,15 +426,15 @@ def induce(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         wrappers: dict[str, list] = {}
-        seen: set[tuple[str, int]] = set()
+        seen: set[tuple[str, str]] = set()
         for batch in batches:
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                page = skeleton(parse(html))
-                key = (host, hash(json.dumps(page)))
+                shape = _shape(skeleton(parse(html)))
+                key = (host, _hash(json.dumps(shape)))
                 if key in seen:
                     continue
                 seen.add(key)
-                wrappers[host] = _merged(wrappers[host], page) if host in wrappers else page
+                wrappers[host] = _merged(wrappers[host], _wrapper(shape)) if host in wrappers else _wrapper(shape)
                 if len(wrappers) > 5000:
                     yield out(wrappers)
                     wrappers = {}
@@ -327,7 +444,7 @@ def induce(pages: DataFrame) -> DataFrame:
             yield out(wrappers)
 
     def out(wrappers):
-        made = [json.dumps(w) for w in wrappers.values()]
+        made = [json.dumps(_shape(w)) for w in wrappers.values()]
         salt = [zlib.crc32(w.encode()) % SALTS for w in made]
         return pa.RecordBatch.from_arrays(
             [pa.array(list(wrappers)), pa.array(salt, pa.int32()), pa.array(made)], names=["host", "salt", "wrapper"]
@@ -335,46 +452,105 @@ def induce(pages: DataFrame) -> DataFrame:
 
     def merged(key, found):
         made = None
-        for text in sorted(found.column("wrapper").to_pylist()):
-            made = json.loads(text) if made is None else _merged(made, json.loads(text))
-        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(made)]})
+        for text in sorted(set(found.column("wrapper").to_pylist())):
+            made = _wrapper(json.loads(text)) if made is None else _merged(made, _wrapper(json.loads(text)))
+        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(_shape(made))]})
 
     parts = pages.select("host", "html").where("html is not null").mapInArrow(run, "host string, salt int, wrapper string")
     some = parts.groupBy("host", "salt").applyInArrow(merged, "host string, wrapper string")
     return some.groupBy("host").applyInArrow(merged, "host string, wrapper string")
 
 
+def _with_wrappers(rows: DataFrame, wrappers: DataFrame):
+    """``rows`` (_host, _html, others), and what gives each batch's (host, html, wrapper) in a task."""
+    size = wrappers.agg(F.sum(F.length("wrapper") + F.coalesce(F.length("facts"), F.lit(0)) + F.length("host") + 64)).first()[0] or 0
+    sent = None
+    if size <= SENT_BYTES:
+        sent = rows.sparkSession.sparkContext.broadcast({r.host: (r.wrapper, r.facts) for r in wrappers.collect()})
+        joined = rows
+    else:
+        salt = F.pmod(F.xxhash64("_html"), F.lit(SALTS)).alias("_salt")
+        each = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+        salted = wrappers.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"), F.col("facts").alias("_facts"), each)
+        joined = rows.withColumn("_salt", F.coalesce(salt, F.lit(0))).join(salted, ["_host", "_salt"], "left")
+    made: dict = {}
+
+    def pages_of(batch):
+        hosts, htmls = batch.column("_host").to_pylist(), batch.column("_html").to_pylist()
+        if sent is None:
+            given = zip(batch.column("_wrapper").to_pylist(), batch.column("_facts").to_pylist(), strict=True)
+        else:
+            given = (sent.value.get(host, (None, None)) for host in hosts)
+        for host, html, (text, facts) in zip(hosts, htmls, given, strict=True):
+            if host not in made:
+                if len(made) > 2000:
+                    made.clear()
+                made[host] = Wrapper(text, facts) if text else None
+            yield host, html, made[host]
+
+    return joined, pages_of
+
+
+def _counts(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, place, hash, pages, chars): on how many different pages of a host a text stands at a place."""
+    rows = pages.select("_host", "_html", F.xxhash64("_html").alias("_page")).where("_html is not null")
+    joined, pages_of = _with_wrappers(rows, wrappers.withColumn("facts", F.lit(None).cast("string")))
+
+    def run(batches):
+        for batch in batches:
+            hosts, places, hashes, numbers, chars = [], [], [], [], []
+            for (host, html, wrapper), number in zip(pages_of(batch), batch.column("_page").to_pylist(), strict=True):
+                root = parse(html)
+                wrapper.align(root)
+                for (place, made), n in wrapper.counted(root).items():
+                    hosts.append(host)
+                    places.append(place)
+                    hashes.append(made)
+                    numbers.append(number)
+                    chars.append(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (places, hashes, numbers, chars))],
+                names=["host", "place", "hash", "page", "n"],
+            )
+
+    each = joined.mapInArrow(run, "host string, place long, hash long, page long, n long")
+    once = each.groupBy("host", "place", "hash", "page").agg(F.max("n").alias("n"))
+    return once.groupBy("host", "place", "hash").agg(F.count("*").alias("pages"), F.sum("n").alias("chars"))
+
+
+def learn(pages: DataFrame) -> DataFrame:
+    """(host, wrapper, facts) of ``pages`` (_host, _html); facts (JSON) are the template texts and the varying
+    characters by place, null for hosts of fewer than MIN_PAGES different pages."""
+    named = pages.select(F.col("_host").alias("host"), F.col("_html").alias("html"))
+    wrappers = materialize(induce(named), "wrappers")
+    counts = materialize(_counts(pages, wrappers), "texts-by-place")
+    places = counts.where(f"hash = 0 and pages >= {MIN_PAGES}").select("host", "place", F.col("pages").alias("of"), F.col("chars").alias("all"))
+    often = counts.where(f"hash <> 0 and pages >= {CONSTANT * MIN_PAGES}").join(places, ["host", "place"])
+    fixed = materialize(often.where(F.col("pages") >= CONSTANT * F.col("of")).select("host", "place", "hash", "chars"), "template-texts")
+    known = counts.where(f"place = 1 and hash = 0 and pages >= {MIN_PAGES}").select("host")
+    lost = fixed.groupBy("host", "place").agg(F.sum("chars").alias("lost"))
+    slots = counts.where("hash = 0 and place > 0").join(lost, ["host", "place"], "left")
+    slots = slots.select("host", F.array("place", F.col("chars") - F.coalesce("lost", F.lit(0))).alias("slot"))
+    varied = slots.groupBy("host").agg(F.collect_list("slot").alias("varied"))
+    template = fixed.groupBy("host").agg(F.collect_list(F.array("place", "hash")).alias("template"))
+    none = F.array().cast("array<array<bigint>>")
+    facts = known.join(varied, "host").join(template, "host", "left")
+    facts = facts.select("host", F.to_json(F.struct(F.coalesce("template", none).alias("template"), "varied")).alias("facts"))
+    return materialize(wrappers.join(facts, "host", "left"), "wrappers-and-counts")
+
+
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` and ``main_text`` of every row of ``pages`` (url, html)."""
     host, _ = url_parts(F.col("url"))
-    rows = pages.select(*keep, host.alias("_host"), F.col("html").alias("_html"))
-    wrappers = materialize(induce(rows.select(F.col("_host").alias("host"), F.col("_html").alias("html"))), "wrappers")
-    size = wrappers.agg(F.sum(F.length("wrapper") + F.length("host") + 64)).first()[0] or 0
+    rows = pages.select(*keep, F.coalesce(host, F.lit("")).alias("_host"), F.col("html").alias("_html"))
     columns = C.with_fields(rows.select(*keep).schema, main_text="string")
     names = list(keep)
-    if size <= SENT_BYTES:
-        known = {r.host: r.wrapper for r in wrappers.collect()}
-        sent = pages.sparkSession.sparkContext.broadcast(known)
-        joined, find = rows, lambda: sent.value
-    else:
-        salt = F.pmod(F.xxhash64("_html"), F.lit(SALTS)).alias("_salt")
-        salted = wrappers.select(F.col("host").alias("_host"), "wrapper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-        joined, find = rows.withColumn("_salt", F.coalesce(salt, F.lit(0))).join(salted, ["_host", "_salt"], "left"), None
+    joined, pages_of = _with_wrappers(rows, learn(rows.select("_host", "_html")))
 
     def run(batches):
-        known, parsed = find() if find else None, {}
         for batch in batches:
-            given = batch.column("wrapper").to_pylist() if known is None else [None] * batch.num_rows
-            texts = []
-            for host, html, text in zip(batch.column("_host").to_pylist(), batch.column("_html").to_pylist(), given, strict=True):
-                if host not in parsed:
-                    if len(parsed) > 2000:
-                        parsed.clear()
-                    text = known.get(host) if known is not None else text
-                    wrapper = json.loads(text) if text else None
-                    # Without any constant node every node is a slot, and a page need not be aligned.
-                    parsed[host] = wrapper if wrapper and _has_template(wrapper) else None
-                texts.append(main_text(parse(html), parsed[host]))
+            # Hosts of few pages have no counts: their pages go by tags and words alone.
+            texts = [main_text(parse(html), w if w and w.counts else None) for _, html, w in pages_of(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "main_text"]
             )

@@ -188,6 +188,23 @@ def test_main_text_of_deep_pages():
     assert pages.main_text(pages.parse("<div>" * 5000 + "a<div>b</div>" + "</div>" * 5000 + "c"), None) == "a b c"
 
 
+def texts_of(make, bodies):
+    rows = [(n, f"http://one.example/{n}", b) for n, b in enumerate(bodies)]
+    return {r.page_id: r.main_text for r in pages.extract(make(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_varying_text_chooses_content(make):
+    menu = "<nav><a href=/>Item {n}</a></nav>"
+    long = "Long varying words of page {n}, many more than elsewhere."
+    side = texts_of(make, [(menu + f"<div class=widget><p>{long}</p></div>").format(n=n) for n in range(10)])
+    card = texts_of(make, [(menu + f"<article>Card {{n}}</article><div><p>{long}</p></div>").format(n=n) for n in range(10)])
+    for n in range(10):
+        assert side[n] == long.format(n=n)
+        assert card[n] == f"Card {n} " + long.format(n=n)
+    few = "<div class='layout sidebar-right'><nav>menu</nav><article>Kept</article><p>no</div>"
+    assert pages.main_text(pages.parse(few), None) == "Kept"
+
+
 def test_main_text_with_wrappers_joined(make, monkeypatch):
     rows = [(n, f"http://h{n % 2}.example/", SITE.format(n=n)) for n in range(24)]
     frame = make(rows, "page_id long, url string, html string")
