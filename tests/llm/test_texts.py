@@ -193,6 +193,13 @@ def texts_of(make, bodies):
     return {r.page_id: r.main_text for r in pages.extract(make(rows, "page_id long, url string, html string")).collect()}
 
 
+def test_constant_block_among_like_siblings(make):
+    body = "<div><h2>Head {n}</h2>{more}<p>Text {n}<p>Subscribe to our newsletter</div><ul><li>One {n}<li>Always</ul>"
+    found = texts_of(make, [body.format(n=n, more=f"<p>More {n}<h2>Sub {n}</h2>" * (n % 4)) for n in range(20)])
+    for n in range(20):
+        assert found[n] == f"Head {n} " + f"More {n} Sub {n} " * (n % 4) + f"Text {n} One {n}"
+
+
 def test_varying_text_chooses_content(make):
     menu = "<nav><a href=/>Item {n}</a></nav>"
     long = "Long varying words of page {n}, many more than elsewhere."
