@@ -200,6 +200,15 @@ def test_constant_block_among_like_siblings(make):
         assert found[n] == f"Head {n} " + f"More {n} Sub {n} " * (n % 4) + f"Text {n} One {n}"
 
 
+def test_template_does_not_depend_on_order(make):
+    for odd in (0, 7, 19):
+        bodies = [f"<div><p class=x>{'Odd' if n == odd else 'Always'}</p><p>Text {n}</div>" for n in range(20)]
+        # Repeats of one page are one page.
+        found = texts_of(make, bodies + [bodies[3]] * 40)
+        assert all(found[n] == (f"Odd Text {n}" if n == odd else f"Text {n}") for n in range(20))
+        assert all(found[n] == "Text 3" for n in range(20, 60))
+
+
 def test_varying_text_chooses_content(make):
     menu = "<nav><a href=/>Item {n}</a></nav>"
     long = "Long varying words of page {n}, many more than elsewhere."
