@@ -56,8 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def drop_stored(spark: SparkSession) -> None:
     """Removes every table that this application stored in the shared folder."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _delete(spark, shared_folder(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -69,7 +68,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(stored: DataFrame) -> None:
+    """Removes a table that :func:`materialize` returned, once its last reader has ended."""
+    _delete(stored.sparkSession, stored._stored_at)
 
 
 def fan_out_partitions(df: DataFrame) -> int:

@@ -70,3 +70,10 @@ def test_stored_tables_are_dropped(spark):
     stored = session.materialize(spark.range(3), "dropped")
     path = stored.inputFiles()[0].removeprefix("file://")
     assert os.path.exists(path) and session.shared_folder(spark) in path
+
+
+def test_one_stored_table_is_discarded(spark):
+    kept, gone = session.materialize(spark.range(3), "kept"), session.materialize(spark.range(3), "gone")
+    path = gone.inputFiles()[0].removeprefix("file://")
+    session.discard(gone)
+    assert not os.path.exists(path) and kept.count() == 3
