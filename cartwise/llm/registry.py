@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cartwise.llm import op3_decontaminate, op5_search, op7_jaccard_join, op8_tool_calls, op9_url_filter, op12_codes, op13_resample
+from cartwise.llm import op3_decontaminate, op5_search, op7_jaccard_join, op8_tool_calls, op9_url_filter, op11_near_vectors, op12_codes, op13_resample
 from cartwise.llm.op1_quality import op1_quality
 from cartwise.llm.op2_main_text import op2_main_text
 from cartwise.llm.op4_bpe import op4_bpe
@@ -20,6 +20,7 @@ QUERIES = {
     "op8_tool_calls": op8_tool_calls.op8_tool_calls,
     "op9_url_filter": op9_url_filter.op9_url_filter,
     "op10_token_counts": op10_token_counts,
+    "op11_near_vectors": op11_near_vectors.op11_near_vectors,
     "op12_codes": op12_codes.op12_codes,
     "op13_resample": op13_resample.op13_resample,
 }
@@ -30,6 +31,7 @@ ORACLE = {
     "op7_jaccard_join": op7_jaccard_join.SQL,
     "op8_tool_calls": op8_tool_calls.SQL,
     "op9_url_filter": op9_url_filter.SQL,
+    "op11_near_vectors": op11_near_vectors.SQL,
     "op12_codes": op12_codes.SQL,
     "op13_resample": op13_resample.SQL,
 }
