@@ -10,18 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.session import fan_out_partitions, materialize
+from cartwise.session import broadcast_limit, fan_out_partitions, materialize, stored_bytes
 
 SHARES = 1000
 #: Rows of one output task that a multiplying join aims at.
 ROWS_PER_TASK = 5_000_000
 
 
-def _same(a: str, b: str, keys: list[str], names: list[str]) -> Column:
-    """Null-safe equality of the keys of ``a`` and the columns ``names`` of ``b``."""
+def _same(a: str, b: str, keys: list[str], names: list[str], null_safe: bool = True) -> Column:
+    """Equality of the keys of ``a`` and the columns ``names`` of ``b``."""
     both = F.lit(True)
     for key, name in zip(keys, names, strict=True):
-        both = both & F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{name}"))
+        x, y = F.col(f"{a}.{key}"), F.col(f"{b}.{name}")
+        both = both & (x.eqNullSafe(y) if null_safe else x == y)
     return both
 
 
@@ -41,6 +42,7 @@ def lookup_join(
     null_safe: bool = False,
     hot: DataFrame | None = None,
     shares: int = SHARES,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row for each key.
 
@@ -50,6 +52,8 @@ def lookup_join(
     meet nothing. ``rows`` is read twice, once for its keys only; it should be stored.
     ``hot`` may give the hot keys where they are known. With ``null_safe`` a null key
     meets a null key; without, it meets nothing, and is dealt out in the same way.
+    ``partitions`` states their number after the join, for a step that makes far more of
+    each row; otherwise it follows the sizes.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"Unknown kind of lookup: {how}")
@@ -75,11 +79,14 @@ def lookup_join(
         for k in keys:
             null = null | F.col(k).isNull()
         marked = marked.withColumn("__salt", F.when(null, F.xxhash64(*spread_by)).otherwise(F.col("__salt")))
+    if partitions is not None:
+        marked = marked.repartition(partitions, *keys, "__salt")
     out = (
         marked.alias("l")
         .join(
-            keyed.withColumn("__none", F.lit(0).cast("long")).alias("t"),
-            _same("l", "t", keys, names) & (F.col("l.__salt") == F.col("t.__none")),
+            # Always 0, but no constant: with one, the salt would be no key of the join.
+            keyed.withColumn("__none", F.pmod(F.xxhash64(*names), F.lit(1))).alias("t"),
+            _same("l", "t", keys, names, null_safe) & (F.col("l.__salt") == F.col("t.__none")),
             "left",
         )
         .withColumn("__row", F.coalesce("__sent", "__row"))
@@ -89,6 +96,27 @@ def lookup_join(
     return out.select(*[f"l.{c}" for c in rows.columns], *[F.col(f"__row.{v}").alias(v) for v in values])
 
 
+def sized_lookup(
+    rows: DataFrame,
+    stored: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    how: str = "left",
+    hot: DataFrame | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``rows`` with the columns of a table that :func:`~cartwise.session.materialize` stored.
+
+    One row for each key. The table is sent to all tasks if its files are within the
+    session's limit for broadcasts, which leaves ``rows`` where they are, and is looked up
+    by :func:`lookup_join` otherwise, in ``partitions`` tasks if stated.
+    """
+    if stored_bytes(stored) <= broadcast_limit(rows.sparkSession):
+        values = [c for c in stored.columns if c not in keys]
+        return rows.join(F.broadcast(stored), keys, how).select(*rows.columns, *values)
+    return lookup_join(rows, stored, keys, spread_by, how, hot=hot, partitions=partitions)
+
+
 def grid_join(
     left: DataFrame,
     right: DataFrame,

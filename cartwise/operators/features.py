@@ -24,11 +24,13 @@ from cartwise.operators.pools import (
     is_generated,
     top_item_ids,
     unfold_pools,
+    with_pools,
 )
 from cartwise.operators.windows import time_window
 from cartwise.session import fan_out_partitions, materialize
 from cartwise.sources.schemas import TS_COL
 
+POOL_COLUMNS = ["category_pool", "pool_end", "top_items"]
 POWER_USER_MORE_THAN = 13
 NEW_CUSTOMER_FEWER_THAN = 3
 
@@ -316,11 +318,9 @@ def _features_of_generated_pairs(
         .groupBy("customer_id")
         .agg(F.collect_list("item_id").alias("bought_items"))
     )
-    customers = (
-        profile.repartition(fan_out_partitions(profile), "customer_id")
-        .join(hits, "customer_id", "left")
-        .join(pools, "category_set")
-    )
+    tasks = fan_out_partitions(profile)
+    spread = profile.repartition(tasks, "customer_id").join(hits, "customer_id", "left")
+    customers = with_pools(spread, pools, POOL_COLUMNS, tasks)
     bought_flag = F.coalesce(F.array_contains("bought_items", F.col("item_id")), F.lit(False))
     columns = [*match_features(), *_zero_filled(figures)]
     kept = ["customer_id", *lookups, *figures, "bought_items"]
@@ -341,7 +341,7 @@ def _bought_pairs(
     """Distinct pairs of the label window with their item's attributes, their
     customer's columns (null without history) and whether they are generated
     candidates anyway."""
-    known = customers.join(pools.select("category_set", "pool_end"), "category_set")
+    known = with_pools(customers, pools, ["pool_end"])
     return (
         recent.select("customer_id", "item_id")
         .distinct()
@@ -370,11 +370,10 @@ def training_candidates(
         bought_from.select("customer_id", "category_rows", category_set()), "category-sets"
     )
     pools = category_set_pools(customers, dimension, items, top_n, max_per_customer, cap_mode)
+    tasks = fan_out_partitions(customers)
+    spread = customers.repartition(tasks, "customer_id")
     generated = unfold_pools(
-        customers.repartition(fan_out_partitions(customers), "customer_id").join(
-            pools, "category_set"
-        ),
-        ["customer_id"],
+        with_pools(spread, pools, POOL_COLUMNS, tasks), ["customer_id"]
     ).select("customer_id", "item_id")
     if not include_positives:
         return generated

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise import config
+from cartwise.functions.joins import SHARES, sized_lookup
 from cartwise.operators.candidates import cap_key, first_n
 from cartwise.session import materialize
 
@@ -17,6 +18,67 @@ def category_set() -> Column:
     return F.array_sort(F.map_keys("category_rows")).alias("category_set")
 
 
+def category_lists(items: DataFrame, cap: int | None, cap_mode: str = "id") -> DataFrame:
+    """One row per category, stored: ``entries``, its first ``cap`` items in order, and
+    ``marks``, the entries at places 1, 2, 4, ... each with the number of entries since the
+    last mark."""
+    catalogue = items.select("item_id", *ATTRIBUTES).where(F.col("item_id").isNotNull())
+    # The sort key first, so that entries compare by (key, id).
+    entry = F.struct(cap_key(cap_mode).alias("key"), "item_id", *ATTRIBUTES)
+    first = first_n(
+        catalogue.where(F.col("category").isNotNull()).withColumn("entry", entry),
+        ["category"],
+        ["entry"],
+        cap,
+    )
+    lists = first.groupBy("category").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    # A place is a power of two if it shares no bit with the place before.
+    marks = """transform(
+        filter(sequence(1, size(entries)), p -> (p & (p - 1)) = 0),
+        p -> struct(entries[p - 1].key AS key, entries[p - 1].item_id AS item_id, p - p div 2 AS n))"""
+    return materialize(lists.withColumn("marks", F.expr(marks)), "category-lists")
+
+
+def merged_lists(sets: DataFrame, lists: DataFrame, cap: int | None) -> DataFrame:
+    """(set_id, category_pool): the first ``cap`` entries of the categories of each set.
+
+    A threshold merge in two steps. The marks of a set's categories, in order, say how many
+    entries lie at or before a mark at least; the first mark that ``cap`` entries are known
+    to reach is the set's limit. Only entries up to it are fetched. A category has less than
+    twice as many of them as its marks told, so that a set fetches fewer than 4 x ``cap``
+    entries, however many categories it has, in place of ``cap`` for each.
+    ``sets`` is (set_id, category_set).
+    """
+    members = sets.select("set_id", F.explode("category_set").alias("category"))
+    if cap is None:
+        limits = sets.withColumn("limit", F.lit(None).cast(_place_type(lists)))
+    else:
+        marked = sized_lookup(members, lists, ["category"], ["set_id"], "inner")
+        limit = f"""aggregate(
+            array_sort(flatten(collect_list(marks))),
+            struct(0L AS n, cast(null AS {_place_type(lists)}) AS limit),
+            (told, m) -> if(told.n >= {cap}, told, struct(told.n + m.n AS n, struct(m.key AS key, m.item_id AS item_id) AS limit)),
+            told -> if(told.n >= {cap}, told.limit, null))"""
+        limits = marked.groupBy("set_id").agg(F.expr(limit).alias("limit"))
+        limits = materialize(sets.join(limits, "set_id"), "pool-limits")
+    wanted = limits.select("set_id", "limit", F.explode("category_set").alias("category"))
+    fetched = sized_lookup(materialize(wanted, "pool-members"), lists, ["category"], ["set_id"], "inner")
+    near = F.expr("filter(entries, e -> limit IS NULL OR struct(e.key AS key, e.item_id AS item_id) <= limit)")
+    pool = F.array_sort(F.flatten(F.collect_list("near")))
+    return (
+        fetched.select("set_id", near.alias("near"))
+        .where(F.size("near") > 0)
+        .groupBy("set_id")
+        .agg((pool if cap is None else F.slice(pool, 1, cap)).alias("category_pool"))
+    )
+
+
+def _place_type(lists: DataFrame) -> str:
+    entry = lists.schema["entries"].dataType.elementType
+    key, item = (entry[c].dataType.simpleString() for c in ("key", "item_id"))
+    return f"struct<key:{key},item_id:{item}>"
+
+
 def category_set_pools(
     customers: DataFrame,
     dimension: DataFrame,
@@ -28,50 +90,55 @@ def category_set_pools(
     """One row per distinct ``category_set`` of ``customers``, given the counted items
     of the history (``dimension``) and the catalogue:
 
-    ``category_pool``  the first ``cap`` items of the set's categories (None: all);
+    ``category_pool``  the first ``cap`` items of the set's categories (None: all), in order;
     ``pool_end``       the last entry of that pool;
-    ``top_items``      the ``top_n`` popular items, the same on every row.
-
-    Customers with the same categories share a pool, so the work is (sets x
-    categories x cap) instead of customers x catalogue. Each category is cut to
-    ``cap`` items first: an item beyond its own category's first ``cap`` cannot
-    be among the first ``cap`` of a union. Every array holds at most ``cap`` or
-    ``top_n`` entries. Written to the shared folder, the table has a known size,
-    from which Spark decides between a broadcast and a shuffled join.
+    ``top_items``      the ``top_n`` popular items, the same on every row;
+    ``customers``      how many customers have the set.
+
+    Customers with the same categories share a pool, so the work is by sets instead of
+    customers x catalogue. Each category is cut to ``cap`` items first: an item beyond its
+    own category's first ``cap`` cannot be among the first ``cap`` of a union. A set's
+    pool is merged from its categories' lists up to a limit (:func:`merged_lists`). Every
+    array holds at most ``cap`` or ``top_n`` entries. Written to the shared folder, the
+    table has a known size, from which its lookup is chosen (:func:`with_pools`).
     """
-    catalogue = items.select("item_id", *ATTRIBUTES).where(F.col("item_id").isNotNull())
-    # The sort key first, so that entries compare by (key, id).
+    lists = category_lists(items, cap, cap_mode)
+    # The set is a long key: members of a set carry a number in its place.
+    sets = customers.groupBy("category_set").agg(F.count(F.lit(1)).alias("customers"))
+    sets = materialize(sets.withColumn("set_id", F.monotonically_increasing_id()), "category-sets")
+    pools = merged_lists(sets.select("set_id", "category_set"), lists, cap)
+    last = F.element_at("category_pool", -1)
     entry = F.struct(cap_key(cap_mode).alias("key"), "item_id", *ATTRIBUTES)
-    per_category = first_n(
-        catalogue.where(F.col("category").isNotNull()).withColumn("entry", entry),
-        ["category"],
-        ["entry"],
-        cap,
-    ).select("category", "entry")
-    sets = customers.select("category_set").distinct()
-    pools = (
-        first_n(
-            sets.withColumn("category", F.explode("category_set")).join(per_category, "category"),
-            ["category_set"],
-            ["entry"],
-            cap,
-        )
-        .groupBy("category_set")
-        .agg(
-            F.collect_list("entry").alias("category_pool"),
-            F.max(F.struct("entry.key", "entry.item_id")).alias("pool_end"),
-        )
-    )
     top = (
         dimension.where(F.col("item_id").isNotNull())
         .orderBy(F.desc("popularity"), "item_id")
         .limit(top_n)
         .agg(F.sort_array(F.collect_list(entry)).alias("top_items"))
     )
-    keyed = sets.join(pools, "category_set", "left").withColumn("top_items", top.scalar())
+    keyed = sets.join(pools, "set_id", "left").select(
+        "category_set",
+        "customers",
+        "category_pool",
+        F.when(F.col("category_pool").isNotNull(), F.struct(last["key"].alias("key"), last["item_id"].alias("item_id"))).alias("pool_end"),
+        top.scalar().alias("top_items"),
+    )
     return materialize(keyed, "category-pools")
 
 
+def with_pools(
+    customers: DataFrame, pools: DataFrame, columns: list[str], partitions: int | None = None
+) -> DataFrame:
+    """Customers with ``columns`` of their set's pool. A set that many customers have is
+    divided over tasks where the pools are too many to be sent to all."""
+    total = pools.agg(F.sum("customers")).scalar()
+    hot = pools.where(F.col("customers") * SHARES > total).select("category_set")
+    table = pools.select("category_set", *columns)
+    table._stored_at = pools._stored_at
+    return sized_lookup(
+        customers, table, ["category_set"], ["customer_id"], "inner", hot=hot, partitions=partitions
+    )
+
+
 def _in_pool(category: Column, key: Column, item_id: Column) -> Column:
     """Pool membership without searching the pool: it holds the items of the
     customer's categories up to its last entry."""

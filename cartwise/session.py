@@ -83,6 +83,18 @@ def discard(stored: DataFrame) -> None:
     _delete(stored.sparkSession, stored._stored_at)
 
 
+def stored_bytes(stored: DataFrame) -> int:
+    """The size of the files of a table that :func:`materialize` returned."""
+    context = stored.sparkSession.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's limit in bytes for sending a table to all tasks; below 0, none is sent."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def fan_out_partitions(df: DataFrame) -> int:
     """Partitions for a step whose output is hundreds of times its input: by the
     cores there are, as the small input would otherwise be packed into few tasks, and no

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
@@ -27,6 +28,24 @@ def test_lookup_join(make, shares, how, null_safe):
     assert told(found, ["id", "k", "note", "v"]) == told(plain, ["id", "k", "note", "v"])
 
 
+def test_rows_of_a_hot_key_are_dealt_out(make, spark):
+    """The join's exchange is on key and salt, on both sides."""
+    rows = make([(i, 7 if i % 3 else i) for i in range(300)], "id long, k int")
+    table = make([(i, f"v{i}") for i in range(300)], "k int, v string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stated in (None, 6):
+            found = lookup_join(rows, table, ["k"], ["id"], partitions=stated)
+            text = found._jdf.queryExecution().executedPlan().toString()
+            exchanges = re.findall(r"Exchange hashpartitioning\((.*), \d+\),", text)
+            joined = [e for e in exchanges if "__salt" in e or "__none" in e]
+            assert len(joined) == 2, exchanges
+            assert found.where("v is null").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_lookup_join_of_empty_tables(make):
     rows, table = make([], "id long, k int"), make([], "k int, v string")
     assert lookup_join(rows, table, ["k"], ["id"]).count() == 0
