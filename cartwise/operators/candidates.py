@@ -13,8 +13,9 @@ from pyspark.sql.window import Window
 
 from cartwise import config
 from cartwise.functions.expressions import seeded_key
+from cartwise.functions.joins import grid_join
 from cartwise.operators.windows import lookback_window
-from cartwise.session import fan_out_partitions
+from cartwise.session import materialize
 
 TOP_CATEGORIES = 3
 
@@ -99,43 +100,6 @@ def strongest_pairs(cooccurrence: DataFrame, n: int) -> DataFrame:
     return cooccurrence.orderBy(F.desc("cooc_count"), "itemA", "itemB").limit(n)
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, key: str, spread_by: list[str], shares: int = 1000
-) -> DataFrame:
-    """Inner equi-join that divides the hot keys of ``left`` over several tasks.
-
-    A key with more than 1/``shares`` of the left rows is hot, so there are fewer
-    than ``shares`` hot keys: that list is small by construction and may be
-    broadcast. A hot key's left rows are divided by hash of ``spread_by`` and its
-    right rows repeated once per part.
-    """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    share = F.ceil(total / F.lit(shares))
-    hot = (
-        counts.where(F.col("__n") > share)
-        .withColumn("__parts", F.ceil(F.col("__n") / share).cast("int"))
-        .select(key, "__parts")
-    )
-    parts = F.coalesce("__parts", F.lit(1))
-    salted_left = (
-        left.join(F.broadcast(hot), key, "left")
-        .withColumn("__salt", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
-        .drop("__parts")
-    )
-    salted_right = (
-        right.join(F.broadcast(hot), key, "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("__parts")
-    )
-    # The output is many times the input: by the cores, not by the input's size.
-    n = fan_out_partitions(left)
-    spread_left, spread_right = (
-        df.repartition(n, key, "__salt") for df in (salted_left, salted_right)
-    )
-    return spread_left.join(spread_right, [key, "__salt"]).drop("__salt")
-
-
 def generate_candidates_from_cooc(
     customer_hist_items: DataFrame,
     cooccurrence: DataFrame,
@@ -145,8 +109,9 @@ def generate_candidates_from_cooc(
     """Items that occur together with what a customer bought, best ``topn`` each.
 
     Both directions of a pair are laid out once, so one join serves them. The
-    join is the multiplicative step (buyers of an item times its neighbours), so
-    hot items are divided over tasks. Bought items are not removed here.
+    join is the multiplicative step (buyers of an item times its neighbours): an
+    item that many bought or that has many neighbours is cut on both sides into
+    the cells of a grid. Bought items are not removed here.
     ``rank_by="id"`` takes the lowest ids instead of the highest total counts.
     """
     if rank_by not in ("count", "id"):
@@ -155,13 +120,16 @@ def generate_candidates_from_cooc(
         F.struct(F.col("itemA").alias("item_id"), F.col("itemB").alias("candidate")),
         F.struct(F.col("itemB").alias("item_id"), F.col("itemA").alias("candidate")),
     )
-    edges = cooccurrence.select("cooc_count", F.inline(both_ways))
+    # Both sides are read twice, for their sizes and for the join.
+    bought = materialize(customer_hist_items.select("customer_id", "item_id"), "bought")
+    pairs = materialize(cooccurrence.select("itemA", "itemB", "cooc_count"), "cooccurrence")
     totals = (
-        spread_join(
-            customer_hist_items.select("customer_id", "item_id"),
-            edges,
+        grid_join(
+            bought,
+            pairs.select("cooc_count", F.inline(both_ways)),
             "item_id",
             ["customer_id"],
+            ["candidate"],
         )
         .groupBy("customer_id", "candidate")
         .agg(F.sum("cooc_count").alias("total"))

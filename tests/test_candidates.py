@@ -43,13 +43,24 @@ def test_cooccurrence_with_and_without_blocks(make, baskets, block_items):
     assert got == brute_force(baskets)
 
 
-def test_spread_join_is_a_join(make):
-    left = make([(1, n) for n in range(300)] + [(2, 7), (3, 8)], "k long, v long")
-    right = make([(1, "a"), (1, "b"), (2, "c"), (4, "d")], "k long, w string")
-    plain = rows_of(left.join(right, "k").select("k", "v", "w"))
-    for shares in (2, 5, 100):
-        spread = C.spread_join(left, right, "k", ["v"], shares).select("k", "v", "w")
-        assert rows_of(spread) == plain
+@pytest.mark.parametrize("rank_by", ["count", "id"])
+def test_an_item_in_half_of_all_histories(make, rank_by):
+    """The grid gives what a plain join and sum give."""
+    rng = random.Random(11)
+    bought = sorted({(c, 0) for c in range(0, 300, 2)} | {(c, rng.randrange(1, 40)) for c in range(300) for _ in range(3)})
+    counts = {(0, b): rng.randrange(1, 9) for b in range(1, 120)} | {(a, b): rng.randrange(1, 9) for a in range(1, 30) for b in range(a + 1, a + 4)}
+    totals = {}
+    for c, i in bought:
+        for (a, b), n in counts.items():
+            if i in (a, b):
+                key = (c, b if i == a else a)
+                totals[key] = totals.get(key, 0) + n
+    best = {}
+    for (c, i), n in totals.items():
+        best.setdefault(c, []).append((-n if rank_by == "count" else 0, i))
+    expected = sorted((c, i) for c, rows in best.items() for _, i in sorted(rows)[:6])
+    cooc = make([(a, b, n) for (a, b), n in counts.items()], "itemA long, itemB long, cooc_count long")
+    assert rows_of(C.generate_candidates_from_cooc(make(bought, PAIRS), cooc, 6, rank_by)) == expected
 
 
 def test_candidates_from_cooccurrence(make, baskets):
