@@ -534,6 +534,18 @@ def feature_importance(spark, sf_dir):
     return models.get_feature_importance(_fit("random_forest", spark, sf_dir))
 
 
+@query("feature_importance_split")
+def feature_importance_split(spark, sf_dir):
+    """Inner nodes by feature, over a forest and boosted trees fitted on the feature table."""
+    counted = []
+    for kind, params in (("random_forest", None), ("xgboost", {"maxIter": 10})):
+        path = _new_folder(spark, "model")
+        models.save_model(_fit(kind, spark, sf_dir, params), path)
+        counts = models.split_counts(models.tree_nodes(spark, path), config.FEATURE_COLUMNS)
+        counted.append(counts.select(F.lit(kind).alias("model_type"), "feature", "n_splits"))
+    return union_all(counted)
+
+
 @query("train_all")
 def train_all(spark, sf_dir):
     return pipelines.train_all(staged_features(spark, sf_dir), max_fit_rows=FIT_ROWS)
