@@ -56,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def drop_stored(spark: SparkSession) -> None:
     """Removes every table that this application stored in the shared folder."""
-    _delete(spark, shared_folder(spark))
+    delete_path(spark, shared_folder(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -73,14 +73,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return stored
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or directory, if it is there."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def discard(stored: DataFrame) -> None:
     """Removes a table that :func:`materialize` returned, once its last reader has ended."""
-    _delete(stored.sparkSession, stored._stored_at)
+    delete_path(stored.sparkSession, stored._stored_at)
 
 
 def stored_bytes(stored: DataFrame) -> int:

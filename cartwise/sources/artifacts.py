@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.session import delete_path, fan_out_partitions
 from cartwise.sources.readers import path_exists
 
 PREDICTIONS = T.StructType(
@@ -33,11 +34,35 @@ def _finished(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def _bucketed(spark: SparkSession, path: str, key: str, buckets: int, columns: T.StructType) -> DataFrame:
+    """The files at ``path`` as a table that knows its buckets, whichever session wrote them."""
+    name = f"cartwise_cache_{sha256(path.encode()).hexdigest()[:24]}"
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    location = path.replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({listed}) USING parquet CLUSTERED BY (`{key}`) "
+        f"SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    return spark.table(name)
+
+
 def features_cache(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], **options
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    key: str = "customer_id",
+    buckets: int | None = None,
+    **options,
 ) -> DataFrame:
     """The feature table at ``path``; built and written first if it is not there.
 
+    It is laid out by customer: rows of one bucket of ``key`` are one sorted file, so
+    ranking, labels and joins on the customer read it without an exchange. The pairs are
+    shuffled once, here, and not again by each of the models and evaluations that read
+    the table. ``buckets`` is the number of files (by default that of a fan-out step); a
+    table that is there keeps its own, which is part of its path.
+
     ``options`` (windows, candidate budget and whatever else the table depends on) are part
     of the path that is read and written, so a table made under others is not returned.
 
@@ -47,9 +72,24 @@ def features_cache(
     if options:
         stated = "\n".join(f"{k}={options[k]!r}" for k in sorted(options))
         path = f"{path.rstrip('/')}-{sha256(stated.encode()).hexdigest()[:16]}"
-    if not _finished(spark, path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    prefix = f"by-{key}-"
+    there = [n for n in folder_names(spark, path, prefix) if _finished(spark, f"{path}/{n}")]
+    wanted = there if buckets is None else [n for n in there if n == f"{prefix}{buckets}"]
+    if wanted:
+        own = f"{path}/{max(wanted)}"
+        n = int(max(wanted).removeprefix(prefix))
+    else:
+        table = build()
+        n = buckets or fan_out_partitions(table)
+        own = f"{path}/{prefix}{n}"
+        delete_path(spark, own)
+        name = f"cartwise_write_{sha256(own.encode()).hexdigest()[:24]}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        # One task for each bucket, hence one file.
+        writer = table.repartition(n, key).sortWithinPartitions(key).write.format("parquet")
+        writer.bucketBy(n, key).sortBy(key).option("path", own).saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")
+    return _bucketed(spark, own, key, n, spark.read.parquet(own).schema)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
@@ -83,12 +123,17 @@ def feature_set_metrics(metrics: DataFrame) -> DataFrame:
     )
 
 
-def latest_artifact(spark: SparkSession, folder: str, prefix: str) -> str | None:
-    """The last name in a folder that starts with ``prefix``; None if there is none."""
+def folder_names(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
+    """The names in a folder that start with ``prefix``; none if there is no folder."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(folder)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(target):
-        return None
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(target)]
-    return max((n for n in names if n.startswith(prefix)), default=None)
+    return sorted(n for n in names if n.startswith(prefix))
+
+
+def latest_artifact(spark: SparkSession, folder: str, prefix: str) -> str | None:
+    """The last name in a folder that starts with ``prefix``; None if there is none."""
+    return max(folder_names(spark, folder, prefix), default=None)

@@ -12,7 +12,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from cartwise.functions import quantiles as Q
-from cartwise.operators import cleaning, eda, reports, sampling, submission
+from cartwise.operators import cleaning, eda, evaluation, ranking, reports, sampling, submission
 from cartwise.sources import artifacts, readers, schemas
 
 TXN = "customer_id long, item_id long, created_date timestamp_ntz"
@@ -237,3 +237,39 @@ def test_submission_file(spark, make, tmp_path):
     size = submission.submission_size(lists).collect()[0]
     assert size.verdict == "might be too small"
     assert size.n_customers == 2
+
+
+def test_feature_cache_is_laid_out_by_customer(spark, tmp_path):
+    """Ranking and evaluation over the cache move nothing by customer, even without broadcasts."""
+    rows = spark.range(3000).selectExpr("id % 200 AS customer_id", "id AS item_id", "cast(id % 97 AS double) AS score", "cast(id % 11 = 0 AS int) AS Y")
+    build = lambda: rows
+    cached = artifacts.features_cache(spark, f"{tmp_path}/it's here/f", build, buckets=6, end="x")
+    assert rows_of(cached) == rows_of(rows)
+    files = [f for f in cached.inputFiles() if f.endswith(".parquet")]
+    assert len(files) == 6
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        ranked = ranking.rank_topk(cached, 10)
+        metrics = evaluation.evaluate_recommendations(cached, cached.where("Y = 1"), [5, 10])
+        for df in (ranked, metrics):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in text and "Bucketed: true" in text
+        plain_rank = rows_of(ranking.rank_topk(rows, 10))
+        plain = rows_of(evaluation.evaluate_recommendations(rows, rows.where("Y = 1"), [5, 10]))
+        assert rows_of(ranked) == plain_rank
+        assert [r[:2] for r in rows_of(metrics)] == [r[:2] for r in plain]
+        assert [r[2] for r in rows_of(metrics)] == pytest.approx([r[2] for r in plain])
+    finally:
+        spark.conf.set(key, before)
+
+    # Another session finds the layout from the files; it does not build.
+    def never():
+        raise AssertionError("built again")
+
+    again = artifacts.features_cache(spark.newSession(), f"{tmp_path}/it's here/f", never, end="x")
+    assert "SelectedBucketsCount: 6 out of 6" in again.groupBy("customer_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(again) == rows_of(rows)
+    other = artifacts.features_cache(spark, f"{tmp_path}/it's here/f", build, buckets=3, end="x")
+    assert len(other.inputFiles()) == 3
