@@ -5,7 +5,7 @@ behavioural figures X4..X13 and three small maps, attribute value -> number of
 purchases. The profile comes from one aggregation of the history.
 Candidate pairs never shuffle for their features: they are unfolded from arrays
 of at most ``top_n + cap`` entries on the profile row, and X1..X3 are lookups in
-its maps.
+its maps. Given pairs move once, packed as lists by customer.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cartwise import config
 from cartwise.functions.expressions import ts, whole_days
+from cartwise.functions.joins import lookup_join
 from cartwise.operators.pools import (
     ATTRIBUTES,
     category_set,
@@ -27,10 +28,12 @@ from cartwise.operators.pools import (
     with_pools,
 )
 from cartwise.operators.windows import time_window
-from cartwise.session import fan_out_partitions, materialize
+from cartwise.session import broadcast_limit, fan_out_partitions, materialize, stored_bytes
 from cartwise.sources.schemas import TS_COL
 
 POOL_COLUMNS = ["category_pool", "pool_end", "top_items"]
+#: Items in one list of given pairs.
+LIST = 4096
 POWER_USER_MORE_THAN = 13
 NEW_CUSTOMER_FEWER_THAN = 3
 
@@ -243,16 +246,60 @@ def _zero_filled(features: list[str]) -> list[Column]:
     return [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in features]
 
 
+def _blocks(*tables: DataFrame) -> int:
+    """Into how many parts each customer's items are cut, so that a list has about LIST
+    entries at most: one part, unless some customer has more rows than that."""
+    most = [
+        t.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] for t in tables
+    ]
+    return -(-max(n or 1 for n in most) // LIST)
+
+
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("block")
+
+
+def pack_pairs(pairs: DataFrame, blocks: int) -> DataFrame:
+    """``(customer_id, block, pairs)``: a customer's pairs as one list of rows, each with all
+    other columns of ``pairs``. The one exchange that given pairs take."""
+    rest = [c for c in pairs.columns if c != "customer_id"]
+    return (
+        pairs.select("customer_id", _block(blocks), F.struct(*rest).alias("pair"))
+        .groupBy("customer_id", "block")
+        .agg(F.collect_list("pair").alias("pairs"))
+    )
+
+
+def _with_attributes(pairs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs with their items' attributes, or the pairs as they are and a table of items that
+    is small enough to be sent to where the pairs will be. A hot item is split over tasks."""
+    table = materialize(items.select("item_id", *ATTRIBUTES).where(F.col("item_id").isNotNull()), "items")
+    if stored_bytes(table) <= broadcast_limit(pairs.sparkSession):
+        return pairs, F.broadcast(table)
+    return lookup_join(pairs, table, ["item_id"], ["customer_id"]), None
+
+
+def unpack_pairs(packed: DataFrame, keep: list[str], sent: DataFrame | None = None) -> DataFrame:
+    """One row per pair again, where its customer is, with the attributes of ``sent``."""
+    flat = packed.select("customer_id", *keep, F.inline("pairs"))
+    return flat if sent is None else flat.join(sent, "item_id", "left")
+
+
 def candidate_features(candidates: DataFrame, hist: DataFrame, items: DataFrame) -> DataFrame:
-    """X1..X3 for given pairs."""
+    """X1..X3 for given pairs.
+
+    Pairs are packed as a list of items per customer, meet the customer's maps as such and
+    are unpacked there; attributes come from a small item table that is sent to them. Only
+    where that is too large are pairs looked up by item first, hot items split.
+    """
     affinity = customer_profile(hist, items, ATTRIBUTES).select(
         "customer_id", *[f"{a}_rows" for a in ATTRIBUTES]
     )
-    return (
-        candidates.select("customer_id", "item_id")
-        .join(items.select("item_id", *ATTRIBUTES), "item_id", "left")
-        .join(affinity, "customer_id", "left")
-        .select("customer_id", "item_id", *match_features())
+    pairs = materialize(candidates.select("customer_id", "item_id"), "pairs")
+    found, sent = _with_attributes(pairs, items)
+    packed = pack_pairs(found, _blocks(pairs)).join(affinity, "customer_id", "left")
+    return unpack_pairs(packed, [f"{a}_rows" for a in ATTRIBUTES], sent).select(
+        "customer_id", "item_id", *match_features()
     )
 
 
@@ -261,31 +308,49 @@ def labels(recent: DataFrame) -> DataFrame:
     return recent.select("customer_id", "item_id").distinct().withColumn("Y", F.lit(1))
 
 
-def label_candidates(candidates: DataFrame, recent: DataFrame) -> DataFrame:
-    """Candidates with Y, 0 where the pair was not bought."""
-    return candidates.join(labels(recent), ["customer_id", "item_id"], "left").withColumn(
-        "Y", F.coalesce("Y", F.lit(0))
+def _bought_lists(recent: DataFrame, blocks: int) -> DataFrame:
+    """``(customer_id, block, bought)``: the items bought in the label window."""
+    return (
+        recent.select("customer_id", "item_id", _block(blocks))
+        .groupBy("customer_id", "block")
+        .agg(F.collect_set("item_id").alias("bought"))
     )
 
 
+def _is_bought() -> Column:
+    return F.coalesce(F.array_contains("bought", F.col("item_id")), F.lit(False)).cast("int").alias("Y")
+
+
+def label_candidates(candidates: DataFrame, recent: DataFrame) -> DataFrame:
+    """Candidates with Y, 0 where the pair was not bought.
+
+    A pair is looked for in its customer's list of bought items: the pairs move once, packed
+    by customer, and are never exchanged on the pair.
+    """
+    pairs = materialize(candidates, "pairs")
+    blocks = _blocks(pairs, recent)
+    packed = pack_pairs(pairs, blocks).join(_bought_lists(recent, blocks), ["customer_id", "block"], "left")
+    return unpack_pairs(packed, ["bought"]).select(*candidates.columns, _is_bought())
+
+
 def _features_of_given_pairs(
     candidates: DataFrame, hist: DataFrame, recent: DataFrame, items: DataFrame, end_hist: datetime
 ) -> DataFrame:
+    lookups = [f"{a}_rows" for a in ATTRIBUTES]
+    figures = list(config.FEATURE_COLUMNS[3:])
     profile = customer_profile(hist, item_dimension(hist, items)).select(
-        "customer_id", *[f"{a}_rows" for a in ATTRIBUTES], *profile_features(end_hist)
+        "customer_id", *lookups, *profile_features(end_hist)
     )
-    # Labels first: that join shuffles on the pair, and here a pair is two ids.
-    return (
-        label_candidates(candidates.select("customer_id", "item_id"), recent)
-        .join(items.select("item_id", *ATTRIBUTES), "item_id", "left")
+    pairs = materialize(candidates.select("customer_id", "item_id"), "pairs")
+    blocks = _blocks(pairs, recent)
+    found, sent = _with_attributes(pairs, items)
+    packed = (
+        pack_pairs(found, blocks)
+        .join(_bought_lists(recent, blocks), ["customer_id", "block"], "left")
         .join(profile, "customer_id", "left")
-        .select(
-            "customer_id",
-            "item_id",
-            *match_features(),
-            *_zero_filled(list(config.FEATURE_COLUMNS[3:])),
-            "Y",
-        )
+    )
+    return unpack_pairs(packed, ["bought", *lookups, *figures], sent).select(
+        "customer_id", "item_id", *match_features(), *_zero_filled(figures), _is_bought()
     )
 
 

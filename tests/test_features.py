@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pytest
@@ -202,3 +203,63 @@ def test_age_in_months(make):
         )
     )
     assert got == [(1, 2), (2, -1)]  # 61 days are two months of 30.4375
+
+
+def _given_pairs(make):
+    """Half of the pairs have one item; one customer has very many; ids may be null or repeated."""
+    pairs = [(c, 1) for c in range(60)] + [(7, i) for i in range(2, 40)] + [(7, 5), (7, 5), (None, 1), (3, None), (99, 4), (3, 404)]
+    recent = [(c, 1) for c in range(0, 60, 2)] + [(7, i) for i in range(1, 40, 3)] + [(7, 4)] * 30 + [(None, 1), (3, None)]
+    hist = [(c, 1 + (c * k) % 40, f"2024-01-{1 + (c + k) % 28:02}") for c in range(60) for k in range(c % 5)]
+    catalogue = [(i, f"b{i % 3}" if i % 7 else None, f"s{i % 2}", f"c{i % 4}") for i in range(1, 40)]
+    return (
+        make([(c, i, "x") for c, i in pairs], "customer_id long, item_id long, note string"),
+        make(recent, PAIRS),
+        txns(make, hist),
+        make(catalogue, ITEMS),
+    )
+
+
+PAIRS = "customer_id long, item_id long"
+
+
+@pytest.mark.parametrize("sent", [True, False])
+@pytest.mark.parametrize("size", [4096, 5])
+def test_given_pairs_are_packed(spark, make, monkeypatch, sent, size):
+    """Both ways to attributes, long lists cut, equal plain joins; pairs move by customer only."""
+    monkeypatch.setattr(X, "LIST", size)
+    pairs, recent, hist, items = _given_pairs(make)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, before if sent else "-1")
+    try:
+        y = X.labels(recent)
+        plain = pairs.join(y, ["customer_id", "item_id"], "left").select(*pairs.columns, F.coalesce("Y", F.lit(0)).alias("Y"))
+        labelled = X.label_candidates(pairs, recent)
+        order = lambda df: sorted(map(str, df.collect()))
+        assert labelled.columns == [*pairs.columns, "Y"] and order(labelled) == order(plain)
+
+        counts = hist.join(items, "item_id", "left")
+        joined = pairs.join(items, "item_id", "left")
+        for a, x in zip(X.ATTRIBUTES, config.FEATURE_COLUMNS[:3], strict=True):
+            n = counts.groupBy("customer_id", a).agg(F.count("*").alias(x))
+            joined = joined.join(n, ["customer_id", a], "left")
+        wanted = joined.select("customer_id", "item_id", *[F.coalesce(x, F.lit(0)).alias(x) for x in config.FEATURE_COLUMNS[:3]])
+        found = X.candidate_features(pairs, hist, items)
+        assert order(found) == order(wanted)
+
+        table = X.build_feature_label_table(
+            hist.unionByName(recent.withColumn("created_date", F.lit("2024-02-15").cast("timestamp_ntz"))),
+            items, None, datetime(2024, 1, 1), END, END, datetime(2024, 3, 1), candidates=pairs,
+        )
+        assert order(table.select("customer_id", "item_id", "Y")) == order(plain.select("customer_id", "item_id", "Y"))
+        for df in (labelled, found, table):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            on = re.findall(r"Exchange hashpartitioning\((.*), \d+\),", text)
+            assert not [e for e in on if re.search(r"customer_id#\d+L?, item_id", e)]
+            # The history meets its items; the pairs do so salted, or not at all.
+            if df is labelled:
+                assert not [e for e in on if "item_id#" in e]
+            elif not sent:
+                assert any("item_id#" in e and "__salt" in e for e in on)
+    finally:
+        spark.conf.set(key, before)
