@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwise import config
+from cartwise.session import materialize
 from cartwise.sources import schemas
 
 
@@ -126,13 +130,153 @@ def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
     return df.limit(n)
 
 
-def explore_dataset(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The profile of every parquet table in a directory, as one table."""
+# --- a dataset directory ----------------------------------------------------
+
+#: Both ends of a Parquet file.
+MAGIC = b"PAR1"
+
+
+def _files_of(spark: SparkSession, data_dir: str) -> list[tuple[str, str, int]]:
+    """(table, path, length) of every file of every table of a directory, listed once.
+
+    A table is a file, or a folder of files, whose name ends in .parquet.
+    """
+    out = []
+    for name in list_parquet_files(spark, data_dir):
+        fs, target = _hadoop_fs(spark, f"{data_dir}/{name}")
+        found = fs.listFiles(target, True)
+        while found.hasNext():
+            status = found.next()
+            hidden = status.getPath().getName().startswith(("_", "."))
+            if not hidden:
+                out.append((name.removesuffix(".parquet"), status.getPath().toString(), status.getLen()))
+    return sorted(out)
+
+
+def _ends_as_parquet(spark: SparkSession, path: str, length: int) -> str | None:
+    """None if the file's last bytes are those of a Parquet file, else what is wrong."""
+    if length < 12:
+        return f"{length} bytes are no Parquet file"
+    fs, target = _hadoop_fs(spark, path)
+    try:
+        stream = fs.open(target)
+        try:
+            stream.seek(length - len(MAGIC))
+            end = bytes(stream.readUnsignedByte() for _ in MAGIC)
+        finally:
+            stream.close()
+    except Py4JJavaError as error:
+        return f"cannot be read: {error.java_exception.getMessage()}"
+    return None if end == MAGIC else "no footer at the end: the file is cut or no Parquet file"
+
+
+def _readable_schema(spark: SparkSession, data_dir: str, name: str) -> T.StructType | str:
+    """A table's columns, of its first file whose footer can be read; or what is wrong with it."""
+    message = "no file"
+    for table, path, _ in _files_of(spark, data_dir):
+        if table == name:
+            try:
+                return spark.read.parquet(path).schema
+            except (PySparkException, Py4JJavaError) as error:
+                message = str(error).splitlines()[0]
+    return message
+
+
+def _tables(spark: SparkSession, data_dir: str) -> dict[str, DataFrame | str]:
+    """Each table of a directory, files that cannot be read left out; or what is wrong with it."""
     names = list_parquet_files(spark, data_dir)
     if not names:
         raise FileNotFoundError(f"No parquet files found in {data_dir}")
-    profiles = [
-        profile_table(spark.read.parquet(f"{data_dir}/{n}"), n.removesuffix(".parquet"))
-        for n in names
-    ]
+    out: dict[str, DataFrame | str] = {}
+    for name in names:
+        reader = spark.read.option("ignoreCorruptFiles", "true")
+        try:
+            # Footers alone are read for the columns.
+            table = reader.parquet(f"{data_dir}/{name}")
+        except (PySparkException, Py4JJavaError):
+            schema = _readable_schema(spark, data_dir, name.removesuffix(".parquet"))
+            table = schema if isinstance(schema, str) else reader.schema(schema).parquet(f"{data_dir}/{name}")
+        out[name.removesuffix(".parquet")] = table
+    return out
+
+
+def explore_files(spark: SparkSession, data_dir: str) -> DataFrame:
+    """One row per file: table_name, file_name, length, n_rows, status, message.
+
+    Two scans, each of all files of a table: one without columns, which reads footers and so
+    the number of rows that each file states; and one of all columns, which counts what can
+    be read. ``status`` is ``ok``, ``unreadable`` (no footer) or ``damaged`` (fewer rows than
+    stated); no file ends the exploration. Only a file without rows in either scan is
+    opened by the driver, for its last four bytes.
+    """
+    tables = _tables(spark, data_dir)
+    files = _files_of(spark, data_dir)
+    listed = spark.createDataFrame(files, "table_name string, path string, length long")
+    counted = []
+    for name, table in tables.items():
+        if isinstance(table, str):
+            continue
+        path = F.col("_metadata.file_path")
+        stated = table.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("stated"), F.lit(0).cast("long").alias("n_rows"))
+        # True of every row, but of no row that is not read: maps have no hash.
+        values = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t else F.col(f"`{c}`") for c, t in table.dtypes]
+        read = F.count_if(F.xxhash64(*values) % 2 < 2)
+        present = table.groupBy(path.alias("path")).agg(F.lit(0).cast("long").alias("stated"), read.alias("n_rows"))
+        counted += [c.withColumn("table_name", F.lit(name)) for c in (stated, present)]
+    rows = (
+        reduce(DataFrame.unionByName, counted).groupBy("table_name", "path").agg(F.max("stated").alias("stated"), F.max("n_rows").alias("n_rows"))
+        if counted
+        else spark.createDataFrame([], "table_name string, path string, stated long, n_rows long")
+    )
+    # The scan's paths are URIs with another number of slashes than the listing's.
+    plain = F.regexp_replace(F.url_decode(F.regexp_replace("path", r"\+", "%2B")), "^([a-z0-9]+):/+", "$1:/")
+    known = materialize(rows.withColumn("path", plain), "file-rows")
+    listed = listed.withColumn("path", F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")).join(known, ["table_name", "path"], "left")
+    doubtful = listed.where("stated is null").select("table_name", "path", "length").collect()
+    problems = [(r.table_name, r.path, _ends_as_parquet(spark, r.path, r.length)) for r in doubtful]
+    wrong = spark.createDataFrame([p for p in problems if p[2]], "table_name string, path string, message string")
+    lost = F.col("stated") > F.col("n_rows")
+    told = F.concat(F.col("n_rows").cast("string"), F.lit(" of "), F.col("stated").cast("string"), F.lit(" rows can be read"))
+    return listed.join(F.broadcast(wrong), ["table_name", "path"], "left").select(
+        "table_name",
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        "length",
+        F.when(F.col("message").isNull(), F.coalesce("n_rows", F.lit(0))).alias("n_rows"),
+        F.when(F.col("message").isNotNull(), "unreadable").when(lost, "damaged").otherwise("ok").alias("status"),
+        F.coalesce("message", F.when(lost, told)).alias("message"),
+    )
+
+
+def explore_dataset(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The profile of every parquet table in a directory, as one table, over the files that
+    can be read. A table none of whose files can be read is one row of nulls; see
+    :func:`explore_files` for what is wrong with it."""
+    profiles = []
+    for name, table in _tables(spark, data_dir).items():
+        if isinstance(table, str):
+            empty = spark.range(1).select(F.lit(name).alias("table_name"))
+            kinds = {"n_columns": "long", "n_rows": "long", "column_name": "string", "dtype": "string", "null_count": "long", "null_pct": "double"}
+            profiles.append(empty.select("table_name", *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()]))
+        else:
+            profiles.append(profile_table(table, name))
     return reduce(DataFrame.unionByName, profiles)
+
+
+def explore_samples(spark: SparkSession, data_dir: str, n: int = 3) -> DataFrame:
+    """``(table_name, row_index, row)``: the first ``n`` rows of each table's first readable
+    file by name, as JSON text. A filter on the row's place in its file, so that no more
+    than the head of each file is read and no table is sorted."""
+    parts = []
+    for name, table in _tables(spark, data_dir).items():
+        if isinstance(table, str):
+            continue
+        place = F.col("_metadata.row_index")
+        heads = table.where(place < n).select(
+            F.col("_metadata.file_path").alias("path"), place.alias("row_index"), F.to_json(F.struct("*")).alias("row")
+        )
+        # At most n rows of each file.
+        first = heads.agg(F.min("path")).scalar()
+        parts.append(heads.where(F.col("path") == first).select(F.lit(name).alias("table_name"), "row_index", "row"))
+    if not parts:
+        return spark.createDataFrame([], "table_name string, row_index long, row string")
+    return reduce(DataFrame.unionByName, parts)

@@ -273,3 +273,41 @@ def test_feature_cache_is_laid_out_by_customer(spark, tmp_path):
     assert rows_of(again) == rows_of(rows)
     other = artifacts.features_cache(spark, f"{tmp_path}/it's here/f", build, buckets=3, end="x")
     assert len(other.inputFiles()) == 3
+
+
+def test_exploration_outlives_broken_files(spark, tmp_path):
+    """A cut, a foreign and an empty file, and damaged pages: one row each, the rest is told."""
+    folder = tmp_path / "set +1"
+    good = spark.range(100).selectExpr("id", "if(id % 4 = 0, null, repeat(cast(id AS string), 50)) AS name")
+    good.repartition(3).write.parquet(f"{folder}/parts.parquet")
+    good.coalesce(1).write.parquet(f"{tmp_path}/one")
+    whole = next((tmp_path / "one").glob("*.parquet")).read_bytes()
+    (folder / "single.parquet").write_bytes(whole)
+    parts = sorted((folder / "parts.parquet").glob("part-*"))
+    parts[0].write_bytes(parts[0].read_bytes()[:-20])
+    (folder / "cut.parquet").write_bytes(whole[: len(whole) // 2])
+    (folder / "text.parquet").write_text("no table at all")
+    (folder / "nothing.parquet").write_bytes(b"")
+    spark.range(0).coalesce(1).write.parquet(f"{tmp_path}/none")
+    (folder / "empty.parquet").write_bytes(next((tmp_path / "none").glob("*.parquet")).read_bytes())
+    broken = bytearray(whole)
+    broken[20 : len(whole) // 2] = bytes(len(whole) // 2 - 20)
+    (folder / "pages.parquet").write_bytes(bytes(broken))
+
+    found = {(r.table_name, r.file_name): r for r in readers.explore_files(spark, str(folder)).collect()}
+    assert len(found) == 9
+    status = {k: r.status for k, r in found.items()}
+    assert status[("single", "single.parquet")] == status[("empty", "empty.parquet")] == "ok"
+    assert [status[("parts", p.name)] for p in parts] == ["unreadable", "ok", "ok"]
+    for name in ("cut", "text", "nothing"):
+        row = found[(name, f"{name}.parquet")]
+        assert row.status == "unreadable" and row.n_rows is None and row.message
+    damaged = found[("pages", "pages.parquet")]
+    assert damaged.status == "damaged" and damaged.message.endswith("of 100 rows can be read")
+    assert found[("single", "single.parquet")].n_rows == 100 and found[("empty", "empty.parquet")].n_rows == 0
+
+    profile = {(r.table_name, r.column_name): (r.n_rows, r.null_count) for r in readers.explore_dataset(spark, str(folder)).collect()}
+    assert profile[("single", "name")] == (100, 25) and profile[("empty", "id")] == (0, 0)
+    assert 0 < profile[("parts", "id")][0] < 100 and profile[("cut", None)] == (None, None)
+    samples = [json.loads(r.row) for r in readers.explore_samples(spark, str(folder)).where("table_name = 'single'").orderBy("row_index").collect()]
+    assert samples == [{"id": 0}, {"id": 1, "name": "1" * 50}, {"id": 2, "name": "2" * 50}]
