@@ -407,7 +407,33 @@ _TOP_CUSTOMERS = f"""
 _LIST = "string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank)"
 _PAIR_KEY = _key(f"(({_key('customer_id')}) * 31 + item_id % 4294967296)")
 
+_GIVEN = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+_SPARK_TYPES = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+    WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DATE' THEN 'date'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'DOUBLE[]' THEN 'array<double>'
+    WHEN 'SMALLINT' THEN 'smallint' WHEN 'TINYINT' THEN 'tinyint' ELSE lower(data_type) END"""
+
+
+def _explored(table: str) -> str:
+    """Every column of a given table with its type, rows and nulls."""
+    nulls = f"""UNPIVOT (SELECT count(*) - count(COLUMNS('(.*)')) AS "\\1" FROM {table}) ON COLUMNS(*) INTO NAME column_name VALUE null_count"""
+    return f"""
+        SELECT '{table}' AS table_name, (SELECT count(*) FROM ({nulls}))::BIGINT AS n_columns, n_rows, column_name,
+               (SELECT any_value({_SPARK_TYPES}) FROM duckdb_columns() c
+                WHERE c.table_name = '{table}' AND c.column_name = u.column_name) AS dtype,
+               null_count::BIGINT AS null_count, CASE WHEN n_rows > 0 THEN null_count * 100.0::DOUBLE / n_rows ELSE 0 END AS null_pct
+        FROM ({nulls}) u, (SELECT count(*)::BIGINT AS n_rows FROM {table})"""
+
+
 BODIES: dict[str, str] = {
+    "explore_dataset": " UNION ALL ".join(map(_explored, _GIVEN)),
+    "explore_files": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'ok' AS status, count(*)::BIGINT AS n_rows FROM {t}" for t in _GIVEN
+    ),
+    "scan_window": "SELECT * FROM recent",
     "scan_transactions": "SELECT * FROM tx",
     "scan_items": "SELECT * FROM items",
     "scan_users": "SELECT * FROM users",

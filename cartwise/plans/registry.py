@@ -141,21 +141,39 @@ def set_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources ----------------------------------------------------------------
 
 
+def _stored_history(spark, sf_dir) -> str:
+    """The purchases of the test tables as a history laid out by month, with its own time column."""
+    path = _new_folder(spark, "history")
+    rows = td.load_domain(spark, sf_dir).transactions.withColumnRenamed("created_date", "created_at")
+    readers.write_transactions(rows, path, "created_at")
+    return path
+
+
 @query("scan_transactions")
 def scan_transactions(spark, sf_dir):
-    return schemas.conform(
-        td.load_domain(spark, sf_dir).transactions, schemas.TRANSACTIONS, "transactions"
-    )
+    return readers.load_transactions(spark, _stored_history(spark, sf_dir))
+
+
+@query("scan_window")
+def scan_window(spark, sf_dir):
+    """The label window's rows: of a history laid out by month, its month alone is read."""
+    path = _stored_history(spark, sf_dir)
+    return readers.load_transactions(spark, path, begin=td.BEGIN_RECENT, end=td.END_RECENT)
+
+
+def _stored_chunks(table: DataFrame, name: str) -> str:
+    """A table as files of one folder, as an export leaves them; returns their glob."""
+    return f"{materialize(table, name)._stored_at}/*.parquet"
 
 
 @query("scan_items")
 def scan_items(spark, sf_dir):
-    return schemas.conform(td.load_domain(spark, sf_dir).items, schemas.ITEMS, "items")
+    return readers.load_items(spark, _stored_chunks(td.load_domain(spark, sf_dir).items, "items"))
 
 
 @query("scan_users")
 def scan_users(spark, sf_dir):
-    return schemas.conform(td.load_domain(spark, sf_dir).users, schemas.USERS, "users")
+    return readers.load_users(spark, _stored_chunks(td.load_domain(spark, sf_dir).users, "users"))
 
 
 @query("declared_schemas")
@@ -177,6 +195,23 @@ def profile_table(spark, sf_dir):
     return union_all([readers.profile_table(df, name) for name, df in tables.items()])
 
 
+@query("explore_files")
+def explore_files(spark, sf_dir):
+    return readers.explore_files(spark, sf_dir).groupBy("table_name", "status").agg(
+        F.sum("n_rows").alias("n_rows")
+    )
+
+
+@query("explore_dataset")
+def explore_dataset(spark, sf_dir):
+    return readers.explore_dataset(spark, sf_dir)
+
+
+@query("explore_samples")
+def explore_samples(spark, sf_dir):
+    return readers.explore_samples(spark, sf_dir)
+
+
 @query("features_cache")
 def features_cache(spark, sf_dir):
     path = f"{shared_folder(spark)}/cache-{spark.sparkContext.applicationId}-{sf_dir.strip("/").replace("/", "-")}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -11,9 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise import config
+from cartwise.functions.expressions import ts
 from cartwise.session import materialize
 from cartwise.sources import schemas
 
+#: The folder level of a history laid out by month: the month's first day.
+MONTH = "purchase_month"
+
 
 def _load(spark: SparkSession, path: str, schema, table: str, rename: dict[str, str]) -> DataFrame:
     df = spark.read.parquet(path)
@@ -24,14 +29,46 @@ def _load(spark: SparkSession, path: str, schema, table: str, rename: dict[str,
 
 
 def load_transactions(
-    spark: SparkSession, path: str | None = None, data_dir: str = ".", ts_col: str = "created_at"
+    spark: SparkSession,
+    path: str | None = None,
+    data_dir: str = ".",
+    ts_col: str = "created_at",
+    begin: datetime | None = None,
+    end: datetime | None = None,
 ) -> DataFrame:
     """Purchase history from a parquet path or glob.
 
-    ``ts_col`` names the event time in the files; it becomes ``created_date``.
+    ``ts_col`` names the event time in the files; it becomes ``created_date``. ``begin`` and
+    ``end`` keep the rows with ``begin <= time < end``; of a table that
+    :func:`write_transactions` laid out by month, only the months between are listed and read.
     """
     path = path or f"{data_dir}/{config.TRANSACTIONS_GLOB}"
-    return _load(spark, path, schemas.TRANSACTIONS, "transactions", {ts_col: schemas.TS_COL})
+    rows = spark.read.parquet(path)
+    months = []
+    if MONTH in rows.columns:
+        if begin is not None:
+            months.append(F.col(MONTH) >= F.lit(begin.date().replace(day=1)))
+        if end is not None:
+            months.append(F.col(MONTH) <= F.lit(end.date()))
+        # Rows without a time are in no window, but in the table.
+        rows = rows.where(reduce(lambda a, b: a & b, months)) if months else rows
+    if ts_col in rows.columns and schemas.TS_COL not in rows.columns:
+        rows = rows.withColumnRenamed(ts_col, schemas.TS_COL)
+    rows = schemas.conform(rows, schemas.TRANSACTIONS, "transactions")
+    time = F.col(schemas.TS_COL)
+    if begin is not None:
+        rows = rows.where(time >= ts(begin))
+    return rows if end is None else rows.where(time < ts(end))
+
+
+def write_transactions(transactions: DataFrame, path: str, ts_col: str = schemas.TS_COL) -> None:
+    """Writes a purchase history with one folder per month of ``ts_col``.
+
+    Rows are dealt by ranges of month and customer, so that a large month is written by
+    several tasks and a task opens few folders.
+    """
+    by_month = transactions.withColumn(MONTH, F.trunc(ts_col, "month"))
+    by_month.repartitionByRange(MONTH, "customer_id").write.partitionBy(MONTH).mode("overwrite").parquet(path)
 
 
 def load_items(spark: SparkSession, path: str | None = None, data_dir: str = ".") -> DataFrame:

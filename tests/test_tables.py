@@ -311,3 +311,24 @@ def test_exploration_outlives_broken_files(spark, tmp_path):
     assert 0 < profile[("parts", "id")][0] < 100 and profile[("cut", None)] == (None, None)
     samples = [json.loads(r.row) for r in readers.explore_samples(spark, str(folder)).where("table_name = 'single'").orderBy("row_index").collect()]
     assert samples == [{"id": 0}, {"id": 1, "name": "1" * 50}, {"id": 2, "name": "2" * 50}]
+
+
+def test_a_window_of_a_monthly_history_reads_its_months(spark, make, tmp_path):
+    rows = [(c, 10 + c, datetime(2024, 1 + c % 6, 1 + c % 28, 5), c) for c in range(300)] + [(7, 1, None, None)]
+    history = make(rows, "customer_id long, item_id long, at timestamp_ntz, order_id long")
+    path = f"{tmp_path}/history"
+    readers.write_transactions(history, path, "at")
+    whole = readers.load_transactions(spark, path, ts_col="at")
+    assert whole.columns == ["customer_id", "item_id", "created_date", "order_id"] and rows_of(whole.where("created_date is not null")) == sorted(rows[:-1])
+    assert whole.count() == 301
+    begin, end = datetime(2024, 3, 10), datetime(2024, 4, 1)
+    window = readers.load_transactions(spark, path, ts_col="at", begin=begin, end=end)
+    assert rows_of(window) == sorted(r for r in rows[:-1] if begin <= r[2] < end)
+    # The other months are not opened: they could be anything.
+    for file in (tmp_path / "history").glob("purchase_month=*/*"):
+        if not any(m in str(file) for m in ("2024-03", "2024-04")):
+            file.write_bytes(b"")
+    schema = "customer_id long, item_id long, at timestamp_ntz, order_id long, purchase_month date"
+    assert "PartitionFilters: [isnotnull(purchase_month" in window._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.schema(schema).parquet(path).where("purchase_month = '2024-03-01'").count() == 50
+    assert window.count() == len([r for r in rows[:-1] if begin <= r[2] < end])
