@@ -114,6 +114,8 @@ def sized_lookup(
     if stored_bytes(stored) <= broadcast_limit(rows.sparkSession):
         values = [c for c in stored.columns if c not in keys]
         return rows.join(F.broadcast(stored), keys, how).select(*rows.columns, *values)
+    if hot is None and not hasattr(rows, "_stored_at"):
+        rows = materialize(rows, "looked-up")
     return lookup_join(rows, stored, keys, spread_by, how, hot=hot, partitions=partitions)
 
 

@@ -3,9 +3,9 @@
 ``percentile`` keeps every distinct value in one aggregation buffer. Here the
 values are first counted (one row per distinct value, combined map-side), then
 cut into buckets at approximate quantiles of the distinct values; cumulative
-counts of the few buckets give each bucket its rank offset, and ranks inside a
-bucket come from a window over that bucket alone. Only buckets that contain a
-wanted rank are sorted.
+counts of the few buckets give each bucket its rank offset. A bucket that contains
+a wanted rank is cut again, round by round, until it has at most BOUND distinct
+values; then it is sorted, alone. All other values are left behind after their round.
 """
 
 from __future__ import annotations
@@ -16,9 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cartwise.session import discard, materialize
+
 # Buckets are found in two steps of STEP comparisons each.
 STEP = 16
 BUCKETS = STEP * STEP
+#: Distinct values that one task sorts at most.
+BOUND = 1_000_000
 
 
 def long_form(df: DataFrame, columns: list[str], cast: str = "double") -> DataFrame:
@@ -39,56 +43,83 @@ def value_counts(values: DataFrame) -> DataFrame:
 
 
 def _with_bucket(counts: DataFrame, splits: DataFrame) -> DataFrame:
-    """``counts`` with the number of split points up to the value: the bucket.
+    """``counts`` with the number of split points of its part up to the value: the bucket.
 
     Every STEP-th split point is compared first, then those between two of them.
     """
     marks = ", ".join(str(i) for i in range(STEP, BUCKETS, STEP))
     coarse = f"{STEP} * size(filter(array({marks}), i -> splits[i - 1] <= value))"
     fine = f"size(filter(slice(splits, low + 1, {STEP - 1}), s -> s <= value))"
-    # One row per metric.
+    # One row per part: a metric, or one of its buckets with a wanted rank.
     return (
-        counts.join(F.broadcast(splits), "metric")
+        counts.join(F.broadcast(splits), ["metric", "part"])
         .withColumn("low", F.expr(coarse))
-        .select("metric", "value", "n", F.expr(f"low + {fine}").alias("bucket"))
+        .select("metric", "part", "value", "n", F.expr(f"low + {fine}").alias("bucket"))
     )
 
 
+def _holding(sizes: DataFrame) -> DataFrame:
+    """The parts that hold wanted ranks, and which: ``sizes`` has ``offset`` and ``part_n``."""
+    here = F.filter("ranks", lambda r: (r >= F.col("offset")) & (r < F.col("offset") + F.col("part_n")))
+    return sizes.withColumn("ranks", here).where(F.size("ranks") > 0)
+
+
+def narrowed(counts: DataFrame, ranks: Column, bound: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(values, parts)``: the stored values of the parts that hold a wanted rank, none of
+    more than ``bound`` distinct values, and those parts, at most one for each wanted rank.
+
+    ``values`` is (metric, part, value, n), ``parts`` (metric, part, offset, part_n, distinct,
+    total, ranks).
+    """
+    bound = BOUND if bound is None else bound
+    values = materialize(counts.withColumn("part", F.lit("")), "value-counts")
+    whole = values.groupBy("metric", "part").agg(F.sum("n").alias("part_n"), F.count(F.lit(1)).alias("distinct"))
+    whole = whole.select("*", F.col("part_n").alias("total"), F.lit(0).cast("long").alias("offset"))
+    parts = materialize(_holding(whole.withColumn("ranks", F.array_distinct(ranks))), "parts")
+    cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
+    while (parts.agg(F.max("distinct")).first()[0] or 0) > bound:
+        large = parts.where(F.col("distinct") > bound)
+        of_large = values.join(F.broadcast(large.select("metric", "part")), ["metric", "part"])
+        # The split points of a part, an array of fixed length.
+        splits = of_large.groupBy("metric", "part").agg(
+            F.percentile_approx("value", cuts, F.lit(10 * BUCKETS)).alias("splits")
+        )
+        placed = _with_bucket(of_large, splits)
+        sizes = placed.groupBy("metric", "part", "bucket").agg(F.sum("n").alias("part_n"), F.count(F.lit(1)).alias("distinct"))
+        up_to = Window.partitionBy("metric", "part").orderBy("bucket")
+        before = F.sum("part_n").over(up_to) - F.col("part_n")
+        named = F.concat("part", F.lit("/"), F.col("bucket").cast("string"))
+        known = F.broadcast(large.select("metric", "part", "total", "ranks", F.col("offset").alias("start")))
+        cut = (
+            sizes.withColumn("before", before)
+            .join(known, ["metric", "part"])
+            .select("metric", named.alias("part"), "part_n", "distinct", "total", (F.col("start") + F.col("before")).alias("offset"), "ranks")
+        )
+        small = parts.where(F.col("distinct") <= bound)
+        parts = materialize(small.unionByName(_holding(cut).select(*small.columns)), "parts")
+        kept = values.join(F.broadcast(small.select("metric", "part")), ["metric", "part"])
+        moved = placed.select("metric", named.alias("part"), "value", "n")
+        moved = moved.join(F.broadcast(parts.select("metric", "part")), ["metric", "part"], "left_semi")
+        last, values = values, materialize(kept.unionByName(moved.select(*kept.columns)), "value-counts")
+        discard(last)
+    return values, parts
+
+
 def values_at_ranks(counts: DataFrame, ranks: Column) -> DataFrame:
     """``(metric, total, rank, value)`` for the wanted zero-based ranks.
 
     ``ranks`` is an array expression over ``total``, the number of rows of the
     metric.
     """
-    cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
-    # One row per metric: the split points, an array of fixed length.
-    splits = counts.groupBy("metric").agg(
-        F.percentile_approx("value", cuts, F.lit(10 * BUCKETS)).alias("splits")
-    )
-    placed = _with_bucket(counts, splits)
-    by_bucket = placed.groupBy("metric", "bucket").agg(F.sum("n").alias("bucket_n"))
-    up_to = Window.partitionBy("metric").orderBy("bucket")
-    whole = Window.partitionBy("metric")
-    wanted_here = F.filter(
-        "ranks",
-        lambda r: (r >= F.col("offset")) & (r < F.col("offset") + F.col("bucket_n")),
-    )
-    targets = (
-        by_bucket.withColumn("offset", F.sum("bucket_n").over(up_to) - F.col("bucket_n"))
-        .withColumn("total", F.sum("bucket_n").over(whole))
-        .withColumn("ranks", F.array_distinct(ranks))
-        .withColumn("wanted", wanted_here)
-        .where(F.size("wanted") > 0)
-        .select("metric", "bucket", "offset", "total", "wanted")
-    )
-    inside = Window.partitionBy("metric", "bucket").orderBy("value")
-    # ``targets`` has at most one row per wanted rank and metric.
+    values, parts = narrowed(counts, ranks)
+    inside = Window.partitionBy("metric", "part").orderBy("value")
+    # ``parts`` has at most one row per wanted rank and metric.
     located = (
-        placed.join(F.broadcast(targets), ["metric", "bucket"])
+        values.join(F.broadcast(parts), ["metric", "part"])
         .withColumn("until", F.col("offset") + F.sum("n").over(inside))
         .withColumn("since", F.col("until") - F.col("n"))
     )
-    here = F.filter("wanted", lambda r: (r >= F.col("since")) & (r < F.col("until")))
+    here = F.filter("ranks", lambda r: (r >= F.col("since")) & (r < F.col("until")))
     return located.select("metric", "total", F.explode(here).alias("rank"), "value")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from cartwise import config
 from cartwise.functions.expressions import seeded_key
-from cartwise.functions.joins import grid_join
+from cartwise.functions.joins import grid_join, sized_lookup
 from cartwise.operators.windows import lookback_window
 from cartwise.session import materialize
 
@@ -208,6 +208,8 @@ def _category_lists(
 
     At most ``top_categories`` rows per customer (None: all its categories) and
     ``max_candidates // 3`` ids per row (None: all items bought in the category).
+    The lists are one stored table, sent to where the customers are if it is small;
+    otherwise customers are looked up split, as most may have one favourite.
     """
     if rank_by not in ("count", "id"):
         raise ValueError(f"Unknown ranking: {rank_by}")
@@ -233,7 +235,13 @@ def _category_lists(
         .groupBy("category")
         .agg(F.collect_list("item_id").alias("category_items"))
     )
-    return favourites.select("customer_id", "category").join(best_items, "category")
+    return sized_lookup(
+        favourites.select("customer_id", "category"),
+        materialize(best_items, "category-items"),
+        ["category"],
+        ["customer_id"],
+        "inner",
+    )
 
 
 def category_candidates(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 from collections import Counter
 from datetime import datetime
 
@@ -154,3 +155,31 @@ def test_budgets_are_arguments(make):
     assert generated("hybrid", max_candidates_per_user=None, top_categories=None) == everything
     with pytest.raises(ValueError, match="max_candidates_per_user"):
         generated("popular_items", max_candidates_per_user=None)
+
+
+@pytest.mark.parametrize("strategy", ["category_based", "hybrid"])
+@pytest.mark.parametrize("rank_by", ["count", "id"])
+def test_customers_are_not_exchanged_by_category(spark, make, strategy, rank_by):
+    """Most customers have one favourite category. Lists sent or looked up split: the same pairs."""
+    rng = random.Random(5)
+    items = make([(i, f"b{i % 3}", "s", f"c{0 if i % 2 else i % 7}") for i in range(80)], "item_id long, brand string, age_group string, category string")
+    rows = [(c, rng.choice([1, 3, 5, 7, rng.randrange(80)]), datetime(2024, 1, 1 + rng.randrange(28))) for c in range(150) for _ in range(4)]
+    history = make(rows, "customer_id long, item_id long, created_date timestamp_ntz")
+    users = history.select("customer_id").distinct()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, found = spark.conf.get(key), []
+    for limit in (before, "-1"):
+        spark.conf.set(key, limit)
+        try:
+            df = C.generate_candidates(history, items, users, datetime(2024, 2, 1), strategy, 40, 30, rank_by=rank_by)
+            text = df._jdf.queryExecution().executedPlan().toString()
+            lines = text.splitlines()
+            on = [(line, below) for line, below in itertools.pairwise(lines) if re.search(r"hashpartitioning\((category|__key0)#", line)]
+            # Counts by category are combined before they move; customers move salted.
+            moved = [line for line, below in on if "HashAggregate" not in below and "Window" not in below]
+            assert all("__salt" in line or "__none" in line for line in moved), moved
+            assert any("__salt" in line for line in moved) == (limit == "-1")
+            found.append(rows_of(df))
+        finally:
+            spark.conf.set(key, before)
+    assert found[0] == found[1] and found[0]

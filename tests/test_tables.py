@@ -332,3 +332,43 @@ def test_a_window_of_a_monthly_history_reads_its_months(spark, make, tmp_path):
     assert "PartitionFilters: [isnotnull(purchase_month" in window._jdf.queryExecution().executedPlan().toString()
     assert spark.read.schema(schema).parquet(path).where("purchase_month = '2024-03-01'").count() == 50
     assert window.count() == len([r for r in rows[:-1] if begin <= r[2] < end])
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 40])
+def test_ranks_are_found_in_small_parts(spark, monkeypatch, bound):
+    """However many distinct values: parts that are sorted are within the bound, results exact."""
+    monkeypatch.setattr(Q, "BOUND", bound)
+    spread = spark.range(120_000).selectExpr("'a' AS metric", "cast(pmod(xxhash64(id), 1000003) AS double) AS value")
+    dense = spark.range(50_000).selectExpr("'b' AS metric", "cast(if(id % 2 = 0, 7, id) AS double) AS value")
+    few = spark.range(99).selectExpr("'c' AS metric", "cast(id % 3 AS double) AS value")
+    counts = Q.value_counts(spread.unionByName(dense).unionByName(few))
+    ranks = F.array(*[F.floor((F.col("total") - 1) * F.lit(p)).cast("long") for p in (0, 0.1, 0.5, 0.501, 0.99, 1)])
+    values, parts = Q.narrowed(counts, ranks)
+    sizes = {(r.metric, r.part): r.n for r in values.groupBy("metric", "part").agg(F.count("*").alias("n")).collect()}
+    told = {(r.metric, r.part): r.distinct for r in parts.collect()}
+    assert max(sizes.values()) <= bound
+    assert told == {k: n for k, n in sizes.items() if k in told} and len(told) <= 18
+    if bound == 40:
+        assert sum(told.values()) < 18 * 40 and any(k[1].count("/") == 2 for k in told)
+    found = {(r.metric, r["rank"]): r.value for r in Q.values_at_ranks(counts, ranks).collect()}
+    for metric, df in (("a", spread), ("b", dense), ("c", few)):
+        ordered = sorted(r.value for r in df.collect())
+        own = {rank: v for (m, rank), v in found.items() if m == metric}
+        assert own == {rank: ordered[rank] for rank in own} and {0, len(ordered) - 1} <= set(own)
+
+
+def test_top_customers_are_an_exact_order_statistic(spark, make):
+    rnd = random.Random(4)
+    rows = [(c, rnd.choice([0.5, 0.25, 0.125, float(c % 9)])) for c in range(400) for _ in range(2)] + [(900, None), (901, None), (None, 99.0)]
+    predictions = make(rows, "customer_id long, score double")
+    means = {}
+    for c, score in rows:
+        if c is not None:
+            means.setdefault(c, []).append(score)
+    means = {c: None if None in v else sum(v) / len(v) for c, v in means.items()}
+    order = sorted(means, key=lambda c: (-(means[c] if means[c] is not None else -1e9), c))
+    for n in (1, 7, 100, 399, 400, 401, 402, 999):
+        got = submission.top_customers_by_score(predictions, n)
+        assert rows_of(got.select("customer_id")) == sorted((c,) for c in order[:n]), n
+    text = submission.top_customers_by_score(predictions, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "SinglePartition" not in text
