@@ -202,6 +202,11 @@ def temporal_features(hist: DataFrame) -> DataFrame:
     return customer_activity(hist).select("customer_id", _x11())
 
 
+def new_customer_features(hist: DataFrame) -> DataFrame:
+    """X12 alone (fewer than 3 rows): a count by customer, without the items."""
+    return customer_activity(hist).select("customer_id", _x12())
+
+
 def cold_start_features(hist: DataFrame, items: DataFrame) -> DataFrame:
     """X12 (fewer than 3 rows) and X13 (mean popularity of the bought items)."""
     profile = customer_profile(hist, item_dimension(hist, items), ("category",))

@@ -60,9 +60,9 @@ def merged_lists(sets: DataFrame, lists: DataFrame, cap: int | None) -> DataFram
             (told, m) -> if(told.n >= {cap}, told, struct(told.n + m.n AS n, struct(m.key AS key, m.item_id AS item_id) AS limit)),
             told -> if(told.n >= {cap}, told.limit, null))"""
         limits = marked.groupBy("set_id").agg(F.expr(limit).alias("limit"))
-        limits = materialize(sets.join(limits, "set_id"), "pool-limits")
+        limits = sets.join(limits, "set_id")
     wanted = limits.select("set_id", "limit", F.explode("category_set").alias("category"))
-    fetched = sized_lookup(materialize(wanted, "pool-members"), lists, ["category"], ["set_id"], "inner")
+    fetched = sized_lookup(wanted, lists, ["category"], ["set_id"], "inner")
     near = F.expr("filter(entries, e -> limit IS NULL OR struct(e.key AS key, e.item_id AS item_id) <= limit)")
     pool = F.array_sort(F.flatten(F.collect_list("near")))
     return (

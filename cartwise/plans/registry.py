@@ -476,7 +476,7 @@ QUERIES["x10_category_diversity"] = _customer_feature(
 )
 QUERIES["x11_day_mode"] = _customer_feature(lambda d: features.temporal_features(d.hist), _X[11])
 QUERIES["x12_new_customer"] = _customer_feature(
-    lambda d: features.cold_start_features(d.hist, d.items), _X[12]
+    lambda d: features.new_customer_features(d.hist), _X[12]
 )
 QUERIES["x13_avg_item_popularity"] = _customer_feature(
     lambda d: features.cold_start_features(d.hist, d.items), _X[13]
