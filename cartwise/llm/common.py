@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 256 << 10
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -76,19 +76,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of about CHUNK_BYTES: first row, end row, their bytes, n + 1 offsets.
 
-    A null is an empty text. A longer text is a chunk of its own, whole.
+    A null is an empty text. A longer text is a chunk of its own, whole. The bytes are a
+    view of the batch's, which is not copied unless it has nulls.
     """
-    values = [b"" if not v.is_valid else v.as_buffer().to_pybytes() for v in texts.cast(pa.large_string())]
+    texts = texts.cast(pa.large_string())
+    if texts.null_count:
+        texts = texts.fill_null("")
+    if not len(texts):
+        return
+    _, places, values = texts.buffers()
+    places = np.frombuffer(places, np.int64, len(texts) + 1, 8 * texts.offset)
+    data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
     start = 0
-    while start < len(values):
-        end, size = start, 0
-        while end < len(values) and (end == start or size + len(values[end]) <= CHUNK_BYTES):
-            size += len(values[end])
-            end += 1
-        part = values[start:end]
-        offsets = np.zeros(end - start + 1, np.int64)
-        np.cumsum([len(v) for v in part], out=offsets[1:])
-        yield start, end, np.frombuffer(b"".join(part), np.uint8), offsets
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(places, places[start] + CHUNK_BYTES, side="right")) - 1)
+        yield start, end, data[places[start] : places[end]], places[start : end + 1] - places[start]
         start = end
 
 

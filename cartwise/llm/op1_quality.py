@@ -15,9 +15,11 @@ there are none). Columns besides doc_id, text and quality are not looked at.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import common as C
@@ -156,6 +158,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, epochs
     return sum(np.frombuffer(p.w, np.float32) * (p.rows / total) for p in parts).astype(np.float32)
 
 
+def _scores(texts: pa.Array, weights: np.ndarray) -> pa.Array:
+    out = np.zeros(len(texts))
+    for first, end, data, offsets in C.chunks(texts):
+        row, bucket, value = _features(data, offsets)
+        out[first:end] = np.bincount(row, weights=weights[bucket] * value, minlength=end - first)
+    return pa.array(1.0 / (1.0 + np.exp(-np.clip(out, -35, 35))))
+
+
 def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and ``quality_score`` (0 to 1) of every row, whole texts."""
     kept = docs.select(*keep, F.col("text").alias("_text"))
@@ -163,18 +173,23 @@ def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = ("doc_id
 
     def run(batches):
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for first, end, data, offsets in C.chunks(batch.column("_text")):
-                row, bucket, value = _features(data, offsets)
-                out[first:end] = np.bincount(row, weights=weights[bucket] * value, minlength=end - first)
-            p = 1.0 / (1.0 + np.exp(-np.clip(out, -35, 35)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(p)], names=[*batch.schema.names[:-1], "quality_score"]
-            )
+            scores = _scores(batch.column("_text"), weights)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=[*batch.schema.names[:-1], "quality_score"])
 
     return kept.mapInArrow(run, schema)
 
 
+def score_of(text: Column, weights: np.ndarray) -> Column:
+    """The score of a text as a column: texts alone go to Python, the row's rest stays."""
+
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield _scores(batch, weights)
+
+    return scored(text)
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score; rows whose fold is 0 teach nothing."""
     docs = C.table(spark, sf_dir, "documents")

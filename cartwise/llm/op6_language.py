@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import functools
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import common as C
@@ -134,26 +136,33 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray]:
     return prototypes
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``lang_pred`` and ``lang_score`` (cosine, 0 to 1) of every row."""
-    kept = docs.select(*keep, F.col("text").alias("_text"))
-    schema = C.with_fields(kept.drop("_text").schema, lang_pred="string", lang_score="double")
-    names = sorted(prototypes)
-    unit = np.stack([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-9) for n in names]) if names else None
+class _Judge:
+    """Languages and cosines of texts, with the n-grams' vectors that a task has made."""
+
+    def __init__(self, prototypes: dict[str, np.ndarray]):
+        self.names = sorted(prototypes)
+        self.unit = np.stack([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-9) for n in self.names]) if self.names else None
+        self.vectors = _Vectors()
 
-    def one(text, vectors):
+    def one(self, text: str | None) -> tuple[str, float]:
         codes, counts = _counted(_grams(text))
-        if unit is None or not len(codes):
+        if self.unit is None or not len(codes):
             return "und", 0.0
-        vector = vectors.bundle(codes, counts)
-        cosines = unit @ vector / max(np.linalg.norm(vector), 1e-9)
+        vector = self.vectors.bundle(codes, counts)
+        cosines = self.unit @ vector / max(np.linalg.norm(vector), 1e-9)
         best = int(np.argmax(cosines))
-        return names[best], float(min(max(cosines[best], 0.0), 1.0))
+        return self.names[best], float(min(max(cosines[best], 0.0), 1.0))
+
+
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep``, ``lang_pred`` and ``lang_score`` (cosine, 0 to 1) of every row."""
+    kept = docs.select(*keep, F.col("text").alias("_text"))
+    schema = C.with_fields(kept.drop("_text").schema, lang_pred="string", lang_score="double")
 
     def run(batches):
-        vectors = _Vectors()
+        judge = _Judge(prototypes)
         for batch in batches:
-            found = [one(x.as_py(), vectors) for x in batch.column("_text")]
+            found = [judge.one(x.as_py()) for x in batch.column("_text")]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 names=[*batch.schema.names[:-1], "lang_pred", "lang_score"],
@@ -162,6 +171,18 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str,
     return kept.mapInArrow(run, schema)
 
 
+def language_of(text: Column, prototypes: dict[str, np.ndarray]) -> Column:
+    """The predicted language of a text as a column: texts alone go to Python, the row's rest stays."""
+
+    @F.arrow_udf("string")
+    def predicted(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        judge = _Judge(prototypes)
+        for batch in texts:
+            yield pa.array([judge.one(x.as_py())[0] for x in batch], pa.string())
+
+    return predicted(text)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language; rows whose fold is 2 teach nothing."""
     docs = C.table(spark, sf_dir, "documents")

@@ -250,7 +250,8 @@ def _meetings(found: pa.Table) -> pa.Table:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, tokens) of the wanted nodes: sorted tokens of 8 bytes; ``wanted`` is (doc_id, node)."""
+    """(node, n, tokens) of the wanted nodes: sorted tokens of 8 bytes; ``wanted`` is (doc_id, key, node), a row
+    that has the set: its id, which may be null, and the hash of its text."""
 
     def run(batches):
         for batch in batches:
@@ -266,13 +267,15 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ],
                     names=["node", "n", "tokens"],
                 )
-                # A repeated doc_id may bring other texts: the digest tells them apart.
+                # Equal hashes may bring other texts: the digest tells them apart.
                 right = _node(row, token, n) == own.column("node").to_numpy()
                 yield own.filter(pa.array(right))
 
     if wanted.count() <= SENT_NODES:
         wanted = F.broadcast(wanted)
-    rows = docs.select("doc_id", "text").where("text is not null").join(wanted, "doc_id").select("node", "text")
+    keyed = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("key"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.key") == F.col("w.key"))
+    rows = keyed.alias("d").join(wanted.alias("w"), same).select("w.node", "d.text")
     return rows.mapInArrow(run, "node long, n int, tokens binary")
 
 
@@ -372,19 +375,23 @@ def _across(prefix: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, with_classes: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row of ``docs`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id reachable by links, ``n_links`` the number of verified
-    links of the row's set to other sets (enough to span its class, not all there are).
+    links of the row's set to other sets (enough to span its class, not all there are). A null doc_id
+    is never the smallest, but the row's set links like any other. ``with_classes`` adds ``key`` (the
+    hash of the text), ``node`` (the digest of its set) and ``class`` (the smallest node reachable),
+    which tell apart rows and classes that share an id.
     """
     docs = docs.select("doc_id", "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    described = materialize(describe(docs), "described")
-    nodes = materialize(
-        described.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "m", "e0", "e1", "spare"))),
-        "nodes",
-    )
+    described = describe(docs.select(F.struct("doc_id", F.xxhash64("text").alias("key")).alias("doc_id"), "text"))
+    described = materialize(described.select("doc_id.doc_id", "doc_id.key", *described.columns[1:]), "described")
+    # Of the rows of a set, one with an id stands for it.
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("place")
+    nodes = described.groupBy("node").agg(place, *(F.first(c).alias(c) for c in ("n", "m", "e0", "e1", "spare")))
+    nodes = materialize(nodes.select("place.doc_id", "place.key", *[c for c in nodes.columns if c != "place"]), "nodes")
     partitions = min(max(64, math.ceil(chars / CHARS_PER_PARTITION)), 1 << 24)
     met = materialize(
         _index(docs, partitions).groupBy("p").applyInArrow(_meetings, "kind byte, a long, b long, times int"), "met"
@@ -416,8 +423,8 @@ def components(docs: DataFrame) -> DataFrame:
 
     over = full.where("n >= 3 and hot > spare").select("node")
     ends = both.select(F.col("a").alias("node")).unionByName(both.select(F.col("b").alias("node")))
-    wanted = materialize(ends.unionByName(over).distinct().join(nodes.select("node", "doc_id"), "node"), "wanted")
-    sets = materialize(_sets(docs, wanted.select("node", "doc_id")), "sets")
+    wanted = materialize(ends.unionByName(over).distinct().join(nodes.select("node", "doc_id", "key"), "node"), "wanted")
+    sets = materialize(_sets(docs, wanted.select("node", "doc_id", "key")), "sets")
     if not sets.groupBy("node").count().where("count > 1").isEmpty():  # repeated rows
         sets = materialize(sets.dropDuplicates(["node"]), "sets")
     labels = wanted.select("node", F.col("node").alias("label"))
@@ -455,9 +462,12 @@ def components(docs: DataFrame) -> DataFrame:
     degree = both_ends.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
     smallest = labels.join(nodes.select("node", "doc_id"), "node").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     info = nodes.select("node", "doc_id").join(labels, "node", "left").join(smallest, "label", "left").join(degree, "node", "left")
-    info = info.select("node", F.coalesce("smallest", "doc_id").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    info = info.select(
+        "node", F.coalesce("label", "node").alias("class"), F.coalesce("smallest", "doc_id").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
     info = materialize(info, "classes")
-    return described.select("doc_id", "node", "n").join(info, "node").select(
+    return described.select("doc_id", "key", "node", "n").join(info, "node").select(
+        *(["key", "node", "class"] if with_classes else []),
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("component_id"),

@@ -97,6 +97,13 @@ def _no_constants(name):
     raise ValueError(name)
 
 
+def _finite(text):
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError(text)
+    return value
+
+
 def _small_levels(edges: DataFrame, n_edges: int) -> DataFrame:
     """(conv_id, call_id, level) of the calls that depend on others, in conversations of few edges: many of these
     meet in one task, about EDGES_A_TASK edges."""
@@ -205,20 +212,25 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataF
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                errors, arguments = [], None
-                if row["status"] != "orphan":
-                    try:
-                        arguments = json.loads(row["arguments"] or "", parse_constant=_no_constants)
-                        schema = schemas.get(row["name"])
-                        errors = ["no schema"] if schema is None else schema_errors(arguments, schema)
-                    except (ValueError, RecursionError):
-                        arguments, errors = row["arguments"], ["arguments are not JSON"]
-                    errors += ["unknown dependency"] * (row["lost"] > 0) + ["cycle"] * (row["level"] == -1)
+                faults = ["unknown dependency"] * (row["lost"] > 0) + ["cycle"] * (row["level"] == -1)
                 line = {
-                    "arguments": arguments, "id": row["call_id"], "level": row["level"], "name": row["name"],
+                    "arguments": None, "id": row["call_id"], "level": row["level"], "name": row["name"],
                     "result": row["content"], "status": row["status"],
                 }
-                out.append((not errors and row["status"] != "orphan", errors, canonical(line)))
+                if row["status"] == "orphan":
+                    out.append((False, [], canonical(line)))
+                    continue
+                try:
+                    arguments = json.loads(row["arguments"] or "", parse_constant=_no_constants, parse_float=_finite)
+                    schema = schemas.get(row["name"])
+                    errors = ["no schema"] if schema is None else schema_errors(arguments, schema)
+                    text = canonical(line | {"arguments": arguments})
+                    # A lone surrogate is no text: it fails here. Nesting deeper than the stack fails above.
+                    text.encode()
+                except (ValueError, RecursionError):
+                    errors, text = ["arguments are not JSON"], canonical(line | {"arguments": row["arguments"]})
+                errors += faults
+                out.append((not errors, errors, text))
             kept = [batch.column(c) for c in ("conv_id", "call_id", "turn", "level", "status", "n_results")]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array([o[0] for o in out]), pa.array([o[1] for o in out], pa.list_(pa.string())), pa.array([o[2] for o in out])],

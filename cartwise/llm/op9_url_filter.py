@@ -59,6 +59,8 @@ def candidate_keys(host: Column, path: Column, rules) -> Column:
         F.when(k.isNotNull(), F.struct(F.length(k).alias("size"), F.lit(n).alias("labels"), k.alias("key")))
         for k, (n, _) in zip(found, shapes, strict=True)
     ]
+    if not rows:
+        return F.array().cast("array<struct<size:int,labels:int,key:string>>")
     return F.filter(F.array(*rows), lambda r: r.isNotNull())
 
 

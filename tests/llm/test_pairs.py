@@ -219,3 +219,12 @@ def test_bounds_of_the_search_hold():
 def test_search_of_an_empty_table(make):
     vectors = search.whole_vectors(make([], "vec_id long, embedding array<float>"))
     assert search.top_k(vectors, vectors, 5).count() == 0
+
+
+def test_jaccard_join_through_a_row_without_an_id(make):
+    """A and B link only by way of N, which has no id."""
+    words = [f"w{i}" for i in range(100)]
+    a, n, b = words[:80], words[8:88], words[16:96]
+    docs = make([(2, " ".join(a)), (None, " ".join(n)), (5, " ".join(b)), (None, "w1 w2 w3"), (None, None)], "doc_id long, text string")
+    found = [(r.doc_id, r.n_shingles, r.component_id) for r in jac.components(docs).collect()]
+    assert sorted(found, key=str) == sorted([(2, 76, 2), (None, 76, 2), (5, 76, 2), (None, 1, None), (None, 0, None)], key=str)

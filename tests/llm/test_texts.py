@@ -332,3 +332,15 @@ def test_fold_is_crc32(make):
 def test_ids_as_text_round_trip():
     ids = np.array(TIKTOKEN.encode_ordinary("round trip"), "<u4")
     assert np.frombuffer(base64.b64decode(base64.b64encode(ids.tobytes())), "<u4").tolist() == ids.tolist()
+
+
+def test_tool_calls_with_arguments_that_no_text_can_hold(make):
+    """Deep nesting, numbers out of range and lone surrogates are no JSON; the job goes on."""
+    given = ["[" * 3000 + "]" * 3000, '{"words":1e400}', '{"text":"\\ud800"}', '{"words":-1e999}', "[" * 200_000, '{"text":"a","words":3}']
+    calls = make([(1, f"c{i}", i, "ask", a, None) for i, a in enumerate(given)], "conv_id long, call_id string, turn int, name string, arguments string, depends array<string>")
+    results = make([], "conv_id long, call_id string, turn int, content string")
+    found = {r.call_id: r for r in tools.link(calls, results).collect()}
+    for i in range(5):
+        assert list(found[f"c{i}"].errors) == ["arguments are not JSON"] and not found[f"c{i}"].valid
+        assert json.loads(found[f"c{i}"].json)["arguments"] == given[i]
+    assert found["c5"].valid and json.loads(found["c5"].json)["arguments"] == {"text": "a", "words": 3}
