@@ -7,7 +7,7 @@ their names; doc_id and text are looked at, and lang where languages are learnt.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import common as C
@@ -18,39 +18,43 @@ from cartwise.llm import op6_language as language
 from cartwise.llm import op7_jaccard_join as jaccard
 from cartwise.session import materialize
 
-#: A text of at least so many characters that is like no learnt language (cosine) is rejected.
-LONG_TEXT, LEAST_COSINE = 200, 0.1
-
-
 def _packed(docs: DataFrame) -> DataFrame:
     """The rows as one column, beside the two that operators look at."""
     return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), "doc_id", "text")
 
 
+def _where(docs: DataFrame, decision: Column) -> DataFrame:
+    """The rows of which the decision is true. Their columns may have any names."""
+    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), decision.alias("kept")).where("kept").select("row.*")
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents with a quality score of THRESHOLD or more."""
     labels = C.table(spark, sf_dir, "labels").where(C.fold_of(F.col("doc_id"), 5) != 0)
-    scored = quality.score(_packed(docs), quality.fit(docs, labels), keep=("row",))
-    return scored.where(F.col("quality_score") >= quality.THRESHOLD).select("row.*")
+    scored = quality.score_of(docs["text"], quality.fit(docs, labels))
+    return _where(docs, scored >= quality.THRESHOLD)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that are in one of the languages learnt from the documents: texts without
-    letters go, and long texts that are like none of them."""
+    """Keeps the documents that are in one of the languages learnt from the documents; texts without
+    letters go. A text of any length has the learnt language that it is most like."""
     C.ship(spark)
     learnt = language.fit(docs.where(C.fold_of(F.col("doc_id"), 4) != 2))
-    found = language.predict(_packed(docs), learnt, keep=("row",))
-    unlike = (F.length("row.text") >= LONG_TEXT) & (F.col("lang_score") < LEAST_COSINE)
-    return found.where((F.col("lang_pred") != "und") & ~unlike).select("row.*")
+    return _where(docs, language.language_of(docs["text"], learnt) != "und")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each class of near-duplicates; one row of repeated ones.
-    Documents without words are in no class and stay, as do those without an id."""
+    """Keeps one document of each class of near-duplicates: that of the smallest id, of several texts under
+    it that of the smallest digest. Of rows with equal id and text one is kept. Documents without words
+    are in no class and stay, as do those without an id."""
     C.ship(spark)
-    first = jaccard.components(docs.where("doc_id is not null")).where("component_id = doc_id").select("doc_id").distinct()
-    rows = _packed(docs)
-    kept = rows.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id is not null")
+    found = jaccard.components(named, with_classes=True)
+    one = F.min(F.struct("doc_id", "node", "key")).alias("one")
+    first = found.where("n_shingles > 0").groupBy("class").agg(one).select("one.doc_id", "one.key")
+    empty = found.where("n_shingles = 0").select("doc_id", "key").distinct()
+    rows = _packed(docs).withColumn("key", F.xxhash64("text"))
+    kept = rows.where("doc_id is not null").join(first.unionByName(empty), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
     return kept.select("row").unionByName(rows.where("doc_id is null").select("row")).select("row.*")
 
 
