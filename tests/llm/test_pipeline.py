@@ -28,7 +28,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_entry_has_the_queries():
@@ -84,3 +84,21 @@ def test_stages_take_odd_documents(spark, make):
 def test_run_is_the_stages_in_order(spark):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert found.count() > 0 and [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier"
+
+
+def test_language_stage_has_one_rule_for_all_lengths(spark, make):
+    """A script that was not learnt is judged alike, short or long; texts without letters go."""
+    learnt = [(i, "the quick brown fox jumps over the lazy dog and the cat " * 3, "en") for i in range(40)]
+    odd = [(100, "\u0ba4\u0bae\u0bbf\u0bb4\u0bcd " * 25, None), (101, "\u0ba4\u0bae\u0bbf\u0bb4\u0bcd " * 50, None), (102, "12 34 ---" * 40, None), (103, "1", None)]
+    kept = corpus_pipeline.language_id(spark, make(learnt + odd, "doc_id long, text string, lang string"), SF_DIR)
+    assert {r.doc_id for r in kept.collect()} == {*range(40), 100, 101}
+
+
+def test_join_stage_keeps_unlike_texts_under_one_id(spark, make):
+    first = " ".join(f"a{i}" for i in range(30))
+    second = " ".join(f"b{i}" for i in range(30))
+    rows = [(1, first), (4, first), (4, second), (4, second), (5, f"{second} more"), (5, "wholly other words of five"), (6, ""), (6, None), (None, first)]
+    kept = corpus_pipeline.ngram_jaccard_join(spark, make(rows, "doc_id long, text string"), SF_DIR)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+        [(1, first), (4, second), (5, "wholly other words of five"), (6, ""), (6, None), (None, first)], key=str
+    )
