@@ -11,7 +11,8 @@ sidebars, notices, adverts, forms, comments by tag, role or class are out unless
 roles and classes alone. An element that holds the marked article is never out. Scripts and styles always are.
 
 Each task leaves one wrapper for each host, merged by a salt and then by host, so that a host with any number of pages
-meets in at most SALTS wrappers. Counts are exact for a given wrapper; where several alignments score alike, the order
+meets in at most SALTS wrappers. A page is parsed once: its tree, without what is never shown, is stored in the shared
+folder, and wrappers, counts and texts are made from that. Counts are exact for a given wrapper; where several alignments score alike, the order
 of merging decides the wrapper's shape. Wrappers go to all tasks if they are at most SENT_BYTES in all, and are joined by
 host and salt otherwise.
 
@@ -23,7 +24,9 @@ nodes are folded into the one at DEPTH. Repeated rows are extracted alike. Colum
 from __future__ import annotations
 
 import json
+import marshal
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -40,6 +43,8 @@ from cartwise.session import materialize
 
 CONSTANT, MIN_PAGES = 0.9, 8
 SALTS, SENT_BYTES, DEPTH = 32, 8 << 20, 60
+#: Pages whose trees are handed on at once.
+SLICE = 500
 
 #: Fixed values of HTML: elements without content, without shown text, in the line, and what a start tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,7 +76,7 @@ class Node:
     __slots__ = ("label", "tag", "out", "children", "place")
 
     def __init__(self, label: str, tag: str, out: bool):
-        self.label, self.tag, self.out = f"{label} !" if out else label, tag, out
+        self.label, self.tag, self.out = sys.intern(f"{label} !" if out else label), sys.intern(tag), out
         self.children: list[Node | str] = []
         self.place = 0
 
@@ -162,6 +167,27 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
+def packed(root: Node) -> bytes:
+    """A tree without its unshown elements, which no step looks at."""
+
+    def walk(node):
+        children = [c if isinstance(c, str) else walk(c) for c in node.children if isinstance(c, str) or c.tag not in UNSHOWN]
+        return node.label, node.tag, node.out, children
+
+    return marshal.dumps(walk(root))
+
+
+def unpacked(tree: bytes) -> Node:
+    def walk(given):
+        node = Node.__new__(Node)
+        node.label, node.tag, node.out, children = given
+        node.children = [c if isinstance(c, str) else walk(c) for c in children]
+        node.place = 0
+        return node
+
+    return walk(marshal.loads(tree))
+
+
 def _elements(node: Node) -> list[Node]:
     return [c for c in node.children if isinstance(c, Node)]
 
@@ -421,15 +447,32 @@ def main_text(root: Node, wrapper: Wrapper | None) -> str:
     return " ".join(filter(None, (" ".join("".join(b).split()) for b in blocks)))
 
 
-def induce(pages: DataFrame) -> DataFrame:
-    """(host, wrapper as JSON) of all pages of each host of ``pages`` (host, html)."""
+def parsed(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``, _host, _page (a hash of the html, null for none) and _tree of every row of ``pages`` (url, html), stored."""
+    host, _ = url_parts(F.col("url"))
+    number = F.when(F.col("html").isNotNull(), F.xxhash64("html"))
+    rows = pages.select(*keep, F.coalesce(host, F.lit("")).alias("_host"), number.alias("_page"), F.col("html").alias("_html"))
+    columns = C.with_fields(rows.drop("_html").schema, _tree="binary")
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                trees = [packed(parse(html.as_py())) for html in part.column("_html")]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(trees, pa.binary())], names=columns.names)
+
+    return materialize(rows.mapInArrow(run, columns), "trees")
+
+
+def induce(trees: DataFrame) -> DataFrame:
+    """(host, wrapper as JSON) of all pages of each host of ``trees`` (_host, _page, _tree)."""
 
     def run(batches):
         wrappers: dict[str, list] = {}
         seen: set[tuple[str, str]] = set()
         for batch in batches:
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                shape = _shape(skeleton(parse(html)))
+            for host, tree in zip(batch.column("_host").to_pylist(), batch.column("_tree"), strict=True):
+                shape = _shape(skeleton(unpacked(tree.as_py())))
                 key = (host, _hash(json.dumps(shape)))
                 if key in seen:
                     continue
@@ -456,51 +499,50 @@ def induce(pages: DataFrame) -> DataFrame:
             made = _wrapper(json.loads(text)) if made is None else _merged(made, _wrapper(json.loads(text)))
         return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(_shape(made))]})
 
-    parts = pages.select("host", "html").where("html is not null").mapInArrow(run, "host string, salt int, wrapper string")
+    parts = trees.where("_page is not null").select("_host", "_tree").mapInArrow(run, "host string, salt int, wrapper string")
     some = parts.groupBy("host", "salt").applyInArrow(merged, "host string, wrapper string")
     return some.groupBy("host").applyInArrow(merged, "host string, wrapper string")
 
 
 def _with_wrappers(rows: DataFrame, wrappers: DataFrame):
-    """``rows`` (_host, _html, others), and what gives each batch's (host, html, wrapper) in a task."""
+    """``rows`` (_host, _page, _tree, others), and what gives each batch's (host, root, wrapper) in a task."""
     size = wrappers.agg(F.sum(F.length("wrapper") + F.coalesce(F.length("facts"), F.lit(0)) + F.length("host") + 64)).first()[0] or 0
     sent = None
     if size <= SENT_BYTES:
         sent = rows.sparkSession.sparkContext.broadcast({r.host: (r.wrapper, r.facts) for r in wrappers.collect()})
         joined = rows
     else:
-        salt = F.pmod(F.xxhash64("_html"), F.lit(SALTS)).alias("_salt")
+        salt = F.pmod("_page", F.lit(SALTS)).alias("_salt")
         each = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
         salted = wrappers.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"), F.col("facts").alias("_facts"), each)
         joined = rows.withColumn("_salt", F.coalesce(salt, F.lit(0))).join(salted, ["_host", "_salt"], "left")
     made: dict = {}
 
     def pages_of(batch):
-        hosts, htmls = batch.column("_host").to_pylist(), batch.column("_html").to_pylist()
+        hosts = batch.column("_host").to_pylist()
         if sent is None:
             given = zip(batch.column("_wrapper").to_pylist(), batch.column("_facts").to_pylist(), strict=True)
         else:
             given = (sent.value.get(host, (None, None)) for host in hosts)
-        for host, html, (text, facts) in zip(hosts, htmls, given, strict=True):
+        for host, tree, (text, facts) in zip(hosts, batch.column("_tree"), given, strict=True):
             if host not in made:
                 if len(made) > 2000:
                     made.clear()
                 made[host] = Wrapper(text, facts) if text else None
-            yield host, html, made[host]
+            yield host, unpacked(tree.as_py()), made[host]
 
     return joined, pages_of
 
 
-def _counts(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+def _counts(trees: DataFrame, wrappers: DataFrame) -> DataFrame:
     """(host, place, hash, pages, chars): on how many different pages of a host a text stands at a place."""
-    rows = pages.select("_host", "_html", F.xxhash64("_html").alias("_page")).where("_html is not null")
+    rows = trees.select("_host", "_page", "_tree").where("_page is not null")
     joined, pages_of = _with_wrappers(rows, wrappers.withColumn("facts", F.lit(None).cast("string")))
 
     def run(batches):
         for batch in batches:
             hosts, places, hashes, numbers, chars = [], [], [], [], []
-            for (host, html, wrapper), number in zip(pages_of(batch), batch.column("_page").to_pylist(), strict=True):
-                root = parse(html)
+            for (host, root, wrapper), number in zip(pages_of(batch), batch.column("_page").to_pylist(), strict=True):
                 wrapper.align(root)
                 for (place, made), n in wrapper.counted(root).items():
                     hosts.append(host)
@@ -518,12 +560,11 @@ def _counts(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
     return once.groupBy("host", "place", "hash").agg(F.count("*").alias("pages"), F.sum("n").alias("chars"))
 
 
-def learn(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, facts) of ``pages`` (_host, _html); facts (JSON) are the template texts and the varying
+def learn(trees: DataFrame) -> DataFrame:
+    """(host, wrapper, facts) of ``trees`` (:func:`parsed`); facts (JSON) are the template texts and the varying
     characters by place, null for hosts of fewer than MIN_PAGES different pages."""
-    named = pages.select(F.col("_host").alias("host"), F.col("_html").alias("html"))
-    wrappers = materialize(induce(named), "wrappers")
-    counts = materialize(_counts(pages, wrappers), "texts-by-place")
+    wrappers = materialize(induce(trees), "wrappers")
+    counts = materialize(_counts(trees, wrappers), "texts-by-place")
     places = counts.where(f"hash = 0 and pages >= {MIN_PAGES}").select("host", "place", F.col("pages").alias("of"), F.col("chars").alias("all"))
     often = counts.where(f"hash <> 0 and pages >= {CONSTANT * MIN_PAGES}").join(places, ["host", "place"])
     fixed = materialize(often.where(F.col("pages") >= CONSTANT * F.col("of")).select("host", "place", "hash", "chars"), "template-texts")
@@ -541,16 +582,15 @@ def learn(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` and ``main_text`` of every row of ``pages`` (url, html)."""
-    host, _ = url_parts(F.col("url"))
-    rows = pages.select(*keep, F.coalesce(host, F.lit("")).alias("_host"), F.col("html").alias("_html"))
-    columns = C.with_fields(rows.select(*keep).schema, main_text="string")
+    trees = parsed(pages, keep)
+    columns = C.with_fields(trees.select(*keep).schema, main_text="string")
     names = list(keep)
-    joined, pages_of = _with_wrappers(rows, learn(rows.select("_host", "_html")))
+    joined, pages_of = _with_wrappers(trees, learn(trees))
 
     def run(batches):
         for batch in batches:
             # Hosts of few pages have no counts: their pages go by tags and words alone.
-            texts = [main_text(parse(html), w if w and w.counts else None) for _, html, w in pages_of(batch)]
+            texts = [main_text(root, w if w and w.counts else None) for _, root, w in pages_of(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "main_text"]
             )
