@@ -18,8 +18,10 @@ of a hot key is verified against a representative of the key, and then, in round
 tokens, so that a large group is one class already; tokens whose sets are all of one class make no pairs,
 others make pairs across classes only.
 
-Verification. Pairs that share too few keys for their sizes are dropped by count, an exact bound; the
-others are compared token by token. Links become classes by least-label propagation with pointer
+Verification. Pairs that share too few keys for their sizes are dropped by count, then pairs whose sketches differ
+in too many bits: a sketch holds the parity of the number of tokens in each of 4 to 8 classes a token, and every
+bit in which two sets differ takes a token that one of them lacks. Both bounds are exact; the pairs left are
+compared token by token. Links become classes by least-label propagation with pointer
 jumping; each round is a table in the shared folder.
 
 Equal sets are one node throughout, so exact copies meet only in a sum. Nodes are 64-bit digests of sets.
@@ -46,13 +48,16 @@ HOT = 16
 SMALL = 40
 SPARE = 1.16
 CHARS_PER_PARTITION = 8_000_000
-FLUSH = 2_000_000
+FLUSH = 1_000_000
+SEEN = 300_000
 PREFIX_BITS = 40
 #: Ids of sets to be compared are sent to all tasks up to this many (16 bytes each), and joined by shuffling beyond.
 SENT_NODES = 1_000_000
 #: Rounds in which sets of large groups try PARTNERS others each, met in stretches of about STRETCH.
 ROUNDS, PARTNERS, STRETCH = 6, 4, 512
 ONE = np.uint64(0xA0761D6478BD642F)
+#: Columns of the brief sketch that pairs of sets with a rare token in common are tried by: 64 classes each.
+BRIEF = [f"s{i}" for i in range(8)]
 
 
 def _bands() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,7 +191,7 @@ def _index(docs: DataFrame, partitions: int) -> DataFrame:
                 if held >= FLUSH:
                     yield out(keys, nodes)
                     keys, nodes, held = [], [], 0
-            if len(seen) > 1_000_000:
+            if len(seen) > SEEN:
                 seen.clear()
         if held:
             yield out(keys, nodes)
@@ -249,8 +254,31 @@ def _meetings(found: pa.Table) -> pa.Table:
     )
 
 
+def _sketch(tokens: np.ndarray) -> bytes:
+    """The parity of the number of tokens in each class, a power of two of them, by the tokens' last bits."""
+    bits = 1 << max(6, (4 * len(tokens) - 1).bit_length())
+    classes = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(classes, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _brief(row: np.ndarray, token: np.ndarray, n: int) -> np.ndarray:
+    """The parities of each row's tokens in the 64 classes of each BRIEF column."""
+    bits = 64 * len(BRIEF)
+    classes = row * bits + (token & np.uint64(bits - 1)).astype(np.int64)
+    parity = (np.bincount(classes, minlength=n * bits) & 1).astype(np.uint8).reshape(n, bits)
+    return np.packbits(parity, axis=1, bitorder="little").view(np.int64)
+
+
+def _least_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the number of tokens that one of two sets has and the other has not, by their sketches."""
+    while len(x) != len(y):  # half the classes have the parities of both halves' sums
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, tokens) of the wanted nodes: sorted tokens of 8 bytes; ``wanted`` is (doc_id, key, node), a row
+    """(node, n, BRIEF, sketch, tokens) of the wanted nodes: sorted tokens of 8 bytes; ``wanted`` is (doc_id, key, node), a row
     that has the set: its id, which may be null, and the hash of its text."""
 
     def run(batches):
@@ -259,13 +287,16 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 row, token = C.word_shingles(data, offsets, SHINGLE)
                 cut = np.searchsorted(row, np.arange(end - first + 1))
                 n = np.diff(cut)
+                each = [token[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 own = pa.RecordBatch.from_arrays(
                     [
                         batch.column("node").slice(first, end - first),
                         pa.array(n.astype(np.int32)),
-                        pa.array([token[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                        *(pa.array(x) for x in np.ascontiguousarray(_brief(row, token, end - first).T)),
+                        pa.array([_sketch(x) for x in each], pa.binary()),
+                        pa.array([x.tobytes() for x in each], pa.binary()),
                     ],
-                    names=["node", "n", "tokens"],
+                    names=["node", "n", *BRIEF, "sketch", "tokens"],
                 )
                 # Equal hashes may bring other texts: the digest tells them apart.
                 right = _node(row, token, n) == own.column("node").to_numpy()
@@ -276,7 +307,26 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     keyed = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("key"))
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.key") == F.col("w.key"))
     rows = keyed.alias("d").join(wanted.alias("w"), same).select("w.node", "d.text")
-    return rows.mapInArrow(run, "node long, n int, tokens binary")
+    return rows.mapInArrow(run, f"node long, n int, {', '.join(f'{c} long' for c in BRIEF)}, sketch binary, tokens binary")
+
+
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (a, b, share) whose sketches do not rule out a link."""
+
+    def run(batches):
+        for batch in batches:
+            most = (batch.column("x_n").to_numpy().astype(np.int64) + batch.column("y_n").to_numpy()) // 7
+            keep = []
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("x", "y"))
+                if _least_difference(x, y) <= most[i]:
+                    keep.append(i)
+            yield batch.select(["a", "b", "share"]).take(pa.array(keep, pa.int32()))
+
+    x = sets.select(F.col("node").alias("a"), F.col("n").alias("x_n"), F.col("sketch").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("n").alias("y_n"), F.col("sketch").alias("y"))
+    rows = pairs.join(x, "a").join(y, "b").select("a", "b", "share", "x_n", "y_n", "x", "y")
+    return rows.mapInArrow(run, "a long, b long, share double")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -358,18 +408,21 @@ def _neighbours(prefix: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return pairs.withColumn("place", F.row_number().over(few)).where(F.col("place") <= PARTNERS).select("a", "b")
 
 
-def _across(prefix: DataFrame, labels: DataFrame) -> DataFrame:
+def _across(prefix: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """All pairs across classes that can link: sets with ``common`` tokens in common have one among the first
-    n - common + 1 of either, in one order of all tokens (the rarest first)."""
+    n - common + 1 of either, in one order of all tokens (the rarest first), and brief sketches that differ in a
+    seventh of their sizes' sum at most."""
     rows = prefix.join(labels, "node")
     split = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    rows = materialize(rows.join(split.select("token"), "token").select("token", "node", "n", "label", "place"), "prefix")
+    rows = rows.join(split.select("token"), "token").select("token", "node", "n", "label", "place")
+    rows = materialize(rows.join(sets.select("node", *BRIEF), "node"), "prefix")
+    differ = " + ".join(f"bit_count(l.{c} ^ r.{c})" for c in BRIEF)
     common = "ceil(3 * (l.n + r.n) / 7)"
     left, right = rows.alias("l"), rows.alias("r")
     return (
         left.join(right, F.col("l.token") == F.col("r.token"))
         .where("l.label <> r.label and (l.n < r.n or l.n = r.n and l.node < r.node) and 4 * l.n >= 3 * r.n")
-        .where(f"l.place <= l.n - {common} + 1 and r.place <= r.n - {common} + 1")
+        .where(f"l.place <= l.n - {common} + 1 and r.place <= r.n - {common} + 1 and 7 * ({differ}) <= l.n + r.n")
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
         .distinct()
     )
@@ -429,6 +482,7 @@ def components(docs: DataFrame, with_classes: bool = False) -> DataFrame:
         sets = materialize(sets.dropDuplicates(["node"]), "sets")
     labels = wanted.select("node", F.col("node").alias("label"))
 
+    both = materialize(_possible(both, sets), "pairs")
     # First each set's most similar partner, by the share of keys; then the pairs that this left in two classes.
     nearest = [W.partitionBy(end).orderBy(F.col("share").desc(), "a", "b") for end in ("a", "b")]
     placed = both.withColumns({f"by_{end}": F.row_number().over(w) for end, w in zip("ab", nearest, strict=True)})
@@ -452,7 +506,7 @@ def components(docs: DataFrame, with_classes: bool = False) -> DataFrame:
         labels = _joined(labels, found[-1])
         if 50 * found[-1].count() <= tried:
             break
-    found.append(materialize(_verified(materialize(_across(prefix, labels), "pairs"), sets), "links"))
+    found.append(materialize(_verified(materialize(_across(prefix, labels, sets), "pairs"), sets), "links"))
     labels = _joined(labels, found[-1])
 
     links = found[0]

@@ -228,3 +228,20 @@ def test_jaccard_join_through_a_row_without_an_id(make):
     docs = make([(2, " ".join(a)), (None, " ".join(n)), (5, " ".join(b)), (None, "w1 w2 w3"), (None, None)], "doc_id long, text string")
     found = [(r.doc_id, r.n_shingles, r.component_id) for r in jac.components(docs).collect()]
     assert sorted(found, key=str) == sorted([(2, 76, 2), (None, 76, 2), (5, 76, 2), (None, 1, None), (None, 0, None)], key=str)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sketches_never_exceed_the_difference(seed):
+    draw = np.random.default_rng(seed)
+    for size in (1, 5, 40, 300, 3000):
+        x = np.unique(draw.integers(0, 1 << 63, size).astype(np.uint64))
+        other = np.unique(draw.integers(0, 1 << 63, size // 3 + 1).astype(np.uint64))
+        for y in (x, np.union1d(x, other), np.union1d(x[len(x) // 4 :], other), other):
+            apart = len(np.setxor1d(x, y))
+            x_, y_ = (np.frombuffer(jac._sketch(s), np.uint64) for s in (x, y))
+            assert jac._least_difference(x_, y_) <= apart
+            row = np.repeat([0, 1], [len(x), len(y)])
+            brief = jac._brief(row, np.concatenate([x, y]), 2)
+            assert np.bitwise_count(brief[0] ^ brief[1]).sum() <= apart
+            if apart == 0:
+                assert jac._sketch(x) == jac._sketch(y)
