@@ -18,6 +18,7 @@ from cartwise.llm import op6_language as language
 from cartwise.llm import op7_jaccard_join as jaccard
 from cartwise.session import materialize
 
+
 def _packed(docs: DataFrame) -> DataFrame:
     """The rows as one column, beside the two that operators look at."""
     return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), "doc_id", "text")
@@ -86,6 +87,9 @@ STAGES = [
     ("byte-level BPE", byte_level_bpe),
 ]
 
+#: Rows that a Python worker holds at once: workers of all stages stand beside the executor's heap.
+BATCH_ROWS = 1000
+
 #: Classifiers and byte-pair merges have no SQL; tests hold each stage against plain Python.
 ORACLE_SQL = None
 
@@ -93,6 +97,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from ``documents`` on."""
     docs = C.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with C.batches_of(spark, BATCH_ROWS):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
