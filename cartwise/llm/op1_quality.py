@@ -186,6 +186,7 @@ def score_of(text: Column, weights: np.ndarray) -> Column:
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             yield _scores(batch, weights)
+            C.release()
 
     return scored(text)
 

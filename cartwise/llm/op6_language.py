@@ -120,6 +120,8 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray]:
                 for a in range(0, len(at), 256):
                     codes = np.concatenate([_grams(texts[i].as_py()) for i in at[a : a + 256]])
                     sums += np.rint(vectors.bundle(*_counted(codes)))
+        del vectors
+        C.release()
         for lang, sums in total.items():
             if not sums.any():
                 continue
@@ -179,6 +181,7 @@ def language_of(text: Column, prototypes: dict[str, np.ndarray]) -> Column:
         judge = _Judge(prototypes)
         for batch in texts:
             yield pa.array([judge.one(x.as_py())[0] for x in batch], pa.string())
+            C.release()
 
     return predicted(text)
 

@@ -48,7 +48,7 @@ HOT = 16
 SMALL = 40
 SPARE = 1.16
 CHARS_PER_PARTITION = 8_000_000
-FLUSH = 1_000_000
+FLUSH = 500_000
 SEEN = 300_000
 PREFIX_BITS = 40
 #: Ids of sets to be compared are sent to all tasks up to this many (16 bytes each), and joined by shuffling beyond.
@@ -138,6 +138,7 @@ def describe(docs: DataFrame) -> DataFrame:
                     ],
                     names=["doc_id", "node", "n", "m", "e0", "e1", "spare"],
                 )
+            C.release()
 
     kept = docs.select("doc_id", F.col("text").alias("_text"))
     kind = dict(kept.dtypes)["doc_id"]
@@ -193,6 +194,7 @@ def _index(docs: DataFrame, partitions: int) -> DataFrame:
                     keys, nodes, held = [], [], 0
             if len(seen) > SEEN:
                 seen.clear()
+            C.release()
         if held:
             yield out(keys, nodes)
 
@@ -301,6 +303,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 # Equal hashes may bring other texts: the digest tells them apart.
                 right = _node(row, token, n) == own.column("node").to_numpy()
                 yield own.filter(pa.array(right))
+            C.release()
 
     if wanted.count() <= SENT_NODES:
         wanted = F.broadcast(wanted)
