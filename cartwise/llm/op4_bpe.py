@@ -175,44 +175,72 @@ def _numbered(batches, names: list[str]):
                     numbers.clear()
                 yield block(kept.slice(first, len(sizes)), words, sizes, begin)
                 first, words, sizes = i + 1, [], []
+        del batch, kept, texts
+        C.release()
+    # The worker stays for other tasks.
+    numbers.clear()
+    C.release()
+
+
+class _Ids:
+    """The ids of the words of a task, by the words' numbers."""
+
+    def __init__(self, ranks: dict[bytes, int], decoded: bool):
+        self.ranks = ranks
+        self.pieces = {rank: piece for piece, rank in ranks.items()} if decoded else None
+        self.begin()
+
+    def begin(self) -> None:
+        self.ids = np.zeros(0, "<u4")
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, often: pa.ListArray, rare: list[str], which: bytes) -> None:
+        """New words: the ids that Spark has folded, and words to be merged here."""
+        merged = [_merge(w.encode(), self.ranks) for w in rare]
+        by_spark = pc.list_value_length(often).to_numpy(zero_copy_only=False).astype(np.int64)
+        added = np.concatenate([by_spark, np.fromiter(map(len, merged), np.int64, len(merged))])
+        flat = np.concatenate(
+            [often.flatten().to_numpy(zero_copy_only=False), np.fromiter(chain.from_iterable(merged), np.int64)]
+        )
+        is_often = np.unpackbits(np.frombuffer(which, np.uint8), count=len(added)).astype(bool)
+        place = np.empty(len(added), np.int64)  # of each new word, in the order of their numbers
+        place[is_often], place[~is_often] = np.arange(len(by_spark)), np.arange(len(by_spark), len(added))
+        self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(added) - added)[place]])
+        self.size = np.concatenate([self.size, added[place]])
+        self.ids = np.concatenate([self.ids, flat.astype("<u4")])
+
+    def rows(self, codes: np.ndarray, words: np.ndarray) -> list[pa.Array]:
+        """The ids of each row's words as bytes; then what they decode to, if that is wanted."""
+        own = self.size[codes]
+        ends = np.cumsum(own)
+        numbers = self.ids[np.repeat(self.first[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+        cut = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words)])]
+        out = [pa.array([numbers[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())]
+        if self.pieces is not None:
+            piece = self.pieces.__getitem__
+            texts = [b"".join(map(piece, numbers[a:b].tolist())) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            out.append(pa.array(texts, pa.binary()))
+        return out
 
 
 def _gathered(batches, names: list[str], ranks: dict[bytes, int], decoded: bool):
     """The rows of the blocks, with the ids of their words as bytes; and what the ids decode to, if ``decoded``."""
-    pieces = {rank: piece for piece, rank in ranks.items()} if decoded else {}
-    first, size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ids = np.zeros(0, "<u4")
+    known = _Ids(ranks, decoded)
+    titles = [*names, "ids", *(["decoded"] if decoded else [])]
     for batch in batches:
         for i in range(batch.num_rows):
             if batch.column("begin")[i].as_py():
-                ids, first, size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
-            often = batch.column("encoded")[i].values
-            rare = [_merge(w.encode(), ranks) for w in batch.column("rare")[i].as_py()]
-            by_spark = pc.list_value_length(often).to_numpy(zero_copy_only=False).astype(np.int64)
-            by_task = np.fromiter(map(len, rare), np.int64, len(rare))
-            added = np.concatenate([by_spark, by_task])
-            flat = np.concatenate([often.flatten().to_numpy(zero_copy_only=False), np.fromiter(chain.from_iterable(rare), np.int64)])
-            which = np.unpackbits(np.frombuffer(batch.column("which")[i].as_buffer(), np.uint8), count=len(added)).astype(bool)
-            place = np.empty(len(added), np.int64)  # of each new word, in the order of their numbers
-            place[which], place[~which] = np.arange(len(by_spark)), np.arange(len(by_spark), len(added))
-            first = np.concatenate([first, (len(ids) + np.cumsum(added) - added)[place]])
-            size = np.concatenate([size, added[place]])
-            ids = np.concatenate([ids, flat.astype("<u4")])
-            codes = np.frombuffer(batch.column("codes")[i].as_buffer(), np.int32)
-            words = np.frombuffer(batch.column("sizes")[i].as_buffer(), np.int32)
-            own = size[codes]
-            ends = np.cumsum(own)
-            numbers = ids[np.repeat(first[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
-            found = numbers.tobytes()
-            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words)])] * 4
+                known.begin()
+            known.add(batch.column("encoded")[i].values, batch.column("rare")[i].as_py(), batch.column("which")[i].as_py())
+            codes, words = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int32) for c in ("codes", "sizes"))
             rows = batch.column("rows")[i].values
-            encoded = pa.array([found[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-            columns, titles = [*(rows.field(n) for n in names), encoded], [*names, "ids"]
-            if decoded:
-                parts = list(map(pieces.__getitem__, numbers.tolist()))
-                texts = [b"".join(parts[a // 4 : b // 4]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                columns, titles = [*columns, pa.array(texts, pa.binary())], [*titles, "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names=titles)
+            yield pa.RecordBatch.from_arrays([*(rows.field(n) for n in names), *known.rows(codes, words)], names=titles)
+            del codes, words, rows
+        del batch
+        C.release()
+    # The worker stays for other tasks.
+    del known
+    C.release()
 
 
 def encode(
