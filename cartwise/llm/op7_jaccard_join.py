@@ -197,6 +197,8 @@ def _index(docs: DataFrame, partitions: int) -> DataFrame:
             C.release()
         if held:
             yield out(keys, nodes)
+        del keys, nodes, seen
+        C.release()
 
     return docs.select("text").where("text is not null").mapInArrow(run, "p long, blob binary")
 
@@ -256,6 +258,13 @@ def _meetings(found: pa.Table) -> pa.Table:
     )
 
 
+def _met(found: pa.Table) -> pa.Table:
+    """The meetings of a partition. The worker stays for other tasks and gives the memory of this one back."""
+    out = _meetings(found)
+    C.release()
+    return out
+
+
 def _sketch(tokens: np.ndarray) -> bytes:
     """The parity of the number of tokens in each class, a power of two of them, by the tokens' last bits."""
     bits = 1 << max(6, (4 * len(tokens) - 1).bit_length())
@@ -450,7 +459,7 @@ def components(docs: DataFrame, with_classes: bool = False) -> DataFrame:
     nodes = materialize(nodes.select("place.doc_id", "place.key", *[c for c in nodes.columns if c != "place"]), "nodes")
     partitions = min(max(64, math.ceil(chars / CHARS_PER_PARTITION)), 1 << 24)
     met = materialize(
-        _index(docs, partitions).groupBy("p").applyInArrow(_meetings, "kind byte, a long, b long, times int"), "met"
+        _index(docs, partitions).groupBy("p").applyInArrow(_met, "kind byte, a long, b long, times int"), "met"
     )
     full = nodes.withColumn("short", F.shiftrightunsigned("node", 64 - PREFIX_BITS))
 
