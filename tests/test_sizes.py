@@ -9,7 +9,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from cartwise.operators import features, ranking
+from cartwise.operators import features, models, ranking
 from cartwise.sources import artifacts
 
 BEGIN, END = datetime(2024, 1, 1), datetime(2024, 3, 1)
@@ -67,3 +67,16 @@ def test_a_table_without_rows_is_stored_by_customer(spark, shop, tmp_path):
     for _ in range(2):
         build = lambda: built((transactions.limit(0), items), by_customer=True)
         assert artifacts.features_cache(spark, f"{tmp_path}/none", build).collect() == []
+
+
+def test_bounded_rows_are_stored_before_a_fit(spark, monkeypatch):
+    """The passes of a fit go over the stored rows, not over the table."""
+    seen = []
+    stored = models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, name: seen.append(stored(df, name)) or seen[-1])
+    rows = spark.range(9000).selectExpr("id % 7 AS x", "cast(id % 7 > 3 AS int) AS Y")
+    model = models.train_model(rows, ["x"], model_type="lightgbm", model_params={"maxIter": 2}, max_fit_rows=3000)
+    assert models.training_accuracy(model, rows).collect()[0].accuracy == 1.0
+    assert [2500 < s.count() < 3500 for s in seen] == [True]
+    models.train_model(rows, ["x"], model_params={"maxIter": 2})
+    assert len(seen) == 1
