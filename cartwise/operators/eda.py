@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from cartwise.functions.expressions import count_nulls_as_value, whole_days
 from cartwise.functions.quantiles import long_form, quantiles, value_counts
+from cartwise.session import fan_out_partitions
 from cartwise.sources.schemas import TS_COL
 
 CUSTOMER_METRICS = ("num_purchases", "num_unique_items", "days_active")
@@ -289,8 +290,13 @@ def sparsity(transactions: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, name: str) -> DataFrame:
-    """Rows beyond the first of each group of equal rows."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    """Rows beyond the first of each group of equal rows.
+
+    Rows are dealt out by all their columns first: as they come (from a join, say) they may
+    lie in few large partitions, whose groups one task would hold twice over.
+    """
+    dealt = df.repartition(fan_out_partitions(df), *df.columns)
+    groups = dealt.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates")).select(
         F.lit(name).alias("table_name"), "n_duplicates"
     )

@@ -9,7 +9,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from cartwise.operators import features, models, ranking
+from cartwise.operators import eda, features, models, ranking
 from cartwise.sources import artifacts
 
 BEGIN, END = datetime(2024, 1, 1), datetime(2024, 3, 1)
@@ -80,3 +80,13 @@ def test_bounded_rows_are_stored_before_a_fit(spark, monkeypatch):
     assert [2500 < s.count() < 3500 for s in seen] == [True]
     models.train_model(rows, ["x"], model_params={"maxIter": 2})
     assert len(seen) == 1
+
+
+def test_equal_rows_of_a_join_are_counted_after_the_join(spark, make):
+    """In a partition of their own, not twice over in that of the join."""
+    lines = make([(o, i) for o in range(6) for i in (1, 1, o, None)], "order_id long, item_id long")
+    orders = make([(o, o % 2) for o in range(6)], "order_id long, customer_id long")
+    joined = lines.hint("merge").join(orders, "order_id")
+    found = eda.duplicate_rows(joined, "t")
+    assert rows_of(found) == [("t", 7)]
+    assert "REPARTITION_BY_NUM" in plan(found).split("SortMergeJoin")[0]
