@@ -21,7 +21,8 @@ others make pairs across classes only.
 Verification. Pairs that share too few keys for their sizes are dropped by count, then pairs whose sketches differ
 in too many bits: a sketch holds the parity of the number of tokens in each of 4 to 8 classes a token, and every
 bit in which two sets differ takes a token that one of them lacks. Both bounds are exact; the pairs left are
-compared token by token. Links become classes by least-label propagation with pointer
+compared token by token. Sketches are made with the digests; tokens are stored only of the sets of pairs that are left
+and of those that leave out too many keys. Links become classes by least-label propagation with pointer
 jumping; each round is a table in the shared folder.
 
 Equal sets are one node throughout, so exact copies meet only in a sum. Nodes are 64-bit digests of sets.
@@ -41,7 +42,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartwise.llm import common as C
-from cartwise.session import materialize
+from cartwise.session import discard, materialize
 
 SHINGLE = 5
 HOT = 16
@@ -109,9 +110,9 @@ def _node(row: np.ndarray, token: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, m, e0, e1, spare) of every row: the set's digest and size, the segments of its
-    band, the segments it cannot use in its own band's partition and in the next one's, and how many
-    more it can do without (negative: too many already)."""
+    """(doc_id, node, n, m, e0, e1, spare, sketch) of every row: the set's digest and size, the segments of its
+    band, the segments it cannot use in its own band's partition and in the next one's, how many
+    more it can do without (negative: too many already), and its sketch."""
 
     def run(batches):
         for batch in batches:
@@ -130,19 +131,21 @@ def describe(docs: DataFrame) -> DataFrame:
                     empty.append(e)
                     if step == 0:
                         own = m
+                cut = np.searchsorted(row, np.arange(len(n) + 1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, end - first),
                         pa.array(_node(row, token, n)),
                         *(pa.array(x.astype(np.int32)) for x in (n, own, *empty, spare)),
+                        pa.array([_sketch(token[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
                     ],
-                    names=["doc_id", "node", "n", "m", "e0", "e1", "spare"],
+                    names=["doc_id", "node", "n", "m", "e0", "e1", "spare", "sketch"],
                 )
             C.release()
 
     kept = docs.select("doc_id", F.col("text").alias("_text"))
     kind = dict(kept.dtypes)["doc_id"]
-    return kept.mapInArrow(run, f"doc_id {kind}, node long, n int, m int, e0 int, e1 int, spare int")
+    return kept.mapInArrow(run, f"doc_id {kind}, node long, n int, m int, e0 int, e1 int, spare int, sketch binary")
 
 
 def _index(docs: DataFrame, partitions: int) -> DataFrame:
@@ -289,8 +292,8 @@ def _least_difference(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, BRIEF, sketch, tokens) of the wanted nodes: sorted tokens of 8 bytes; ``wanted`` is (doc_id, key, node), a row
-    that has the set: its id, which may be null, and the hash of its text."""
+    """(node, over, n, BRIEF, tokens) of the wanted nodes: sorted tokens of 8 bytes; ``wanted`` is (doc_id, key, node, over), a
+    row that has the set (its id, which may be null, and the hash of its text) and whether the set leaves out too many keys."""
 
     def run(batches):
         for batch in batches:
@@ -301,13 +304,12 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 each = [token[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 own = pa.RecordBatch.from_arrays(
                     [
-                        batch.column("node").slice(first, end - first),
+                        *(batch.column(c).slice(first, end - first) for c in ("node", "over")),
                         pa.array(n.astype(np.int32)),
                         *(pa.array(x) for x in np.ascontiguousarray(_brief(row, token, end - first).T)),
-                        pa.array([_sketch(x) for x in each], pa.binary()),
                         pa.array([x.tobytes() for x in each], pa.binary()),
                     ],
-                    names=["node", "n", *BRIEF, "sketch", "tokens"],
+                    names=["node", "over", "n", *BRIEF, "tokens"],
                 )
                 # Equal hashes may bring other texts: the digest tells them apart.
                 right = _node(row, token, n) == own.column("node").to_numpy()
@@ -318,11 +320,33 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         wanted = F.broadcast(wanted)
     keyed = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("key"))
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.key") == F.col("w.key"))
-    rows = keyed.alias("d").join(wanted.alias("w"), same).select("w.node", "d.text")
-    return rows.mapInArrow(run, f"node long, n int, {', '.join(f'{c} long' for c in BRIEF)}, sketch binary, tokens binary")
+    rows = keyed.alias("d").join(wanted.alias("w"), same).select("w.node", "w.over", "d.text")
+    return rows.mapInArrow(run, f"node long, over boolean, n int, {', '.join(f'{c} long' for c in BRIEF)}, tokens binary")
 
 
-def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _sketches(described: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, sketch) of the wanted nodes, from the described row that stands for each."""
+    if wanted.count() <= SENT_NODES:
+        wanted = F.broadcast(wanted)
+    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.key") == F.col("w.key")) & (F.col("d.node") == F.col("w.node"))
+    return described.alias("d").join(wanted.alias("w"), same).select("d.node", "d.n", "d.sketch")
+
+
+def _stored_once(sets: DataFrame, name: str) -> DataFrame:
+    """The table, stored, with one row for each node: rows of the input may repeat."""
+    stored = materialize(sets, name)
+    if stored.groupBy("node").count().where("count > 1").isEmpty():
+        return stored
+    once = materialize(stored.dropDuplicates(["node"]), name)
+    discard(stored)
+    return once
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The (a, b, share) whose sketches do not rule out a link."""
 
     def run(batches):
@@ -335,8 +359,8 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     keep.append(i)
             yield batch.select(["a", "b", "share"]).take(pa.array(keep, pa.int32()))
 
-    x = sets.select(F.col("node").alias("a"), F.col("n").alias("x_n"), F.col("sketch").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("n").alias("y_n"), F.col("sketch").alias("y"))
+    x = sketches.select(F.col("node").alias("a"), F.col("n").alias("x_n"), F.col("sketch").alias("x"))
+    y = sketches.select(F.col("node").alias("b"), F.col("n").alias("y_n"), F.col("sketch").alias("y"))
     rows = pairs.join(x, "a").join(y, "b").select("a", "b", "share", "x_n", "y_n", "x", "y")
     return rows.mapInArrow(run, "a long, b long, share double")
 
@@ -356,7 +380,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int32()))
 
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    ends = _ends(pairs).distinct()
     # Only the sets of these pairs are moved.
     if ends.count() <= SENT_NODES:
         sets = sets.join(F.broadcast(ends), "node", "left_semi")
@@ -486,15 +510,17 @@ def components(docs: DataFrame, with_classes: bool = False) -> DataFrame:
     stars = stars.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.lit(None).cast("double").alias("share"))
     both = materialize(pairs.unionByName(stars).groupBy("a", "b").agg(F.max("share").alias("share")), "pairs")
 
-    over = full.where("n >= 3 and hot > spare").select("node")
-    ends = both.select(F.col("a").alias("node")).unionByName(both.select(F.col("b").alias("node")))
-    wanted = materialize(ends.unionByName(over).distinct().join(nodes.select("node", "doc_id", "key"), "node"), "wanted")
-    sets = materialize(_sets(docs, wanted.select("node", "doc_id", "key")), "sets")
-    if not sets.groupBy("node").count().where("count > 1").isEmpty():  # repeated rows
-        sets = materialize(sets.dropDuplicates(["node"]), "sets")
+    # Sketches first: tokens are stored only of sets that a pair is left with, or that leave out too many keys.
+    standing = nodes.select("node", "doc_id", "key")
+    sketches = _stored_once(_sketches(described, materialize(_ends(both).distinct().join(standing, "node"), "wanted")), "sketches")
+    both = materialize(_possible(both, sketches), "pairs")
+    discard(sketches)
+    over = full.where("n >= 3 and hot > spare").select("node", F.lit(True).alias("over"))
+    wanted = _ends(both).withColumn("over", F.lit(False)).unionByName(over).groupBy("node").agg(F.max("over").alias("over"))
+    wanted = materialize(wanted.join(standing, "node"), "wanted")
+    sets = _stored_once(_sets(docs, wanted), "sets")
     labels = wanted.select("node", F.col("node").alias("label"))
 
-    both = materialize(_possible(both, sets), "pairs")
     # First each set's most similar partner, by the share of keys; then the pairs that this left in two classes.
     nearest = [W.partitionBy(end).orderBy(F.col("share").desc(), "a", "b") for end in ("a", "b")]
     placed = both.withColumns({f"by_{end}": F.row_number().over(w) for end, w in zip("ab", nearest, strict=True)})
@@ -506,7 +532,7 @@ def components(docs: DataFrame, with_classes: bool = False) -> DataFrame:
 
     # Then the sets that leave out too many keys, by their rarest tokens: a few partners each while that joins
     # many, at last all pairs across classes.
-    tokens = materialize(_tokens(sets.join(over, "node")), "tokens")
+    tokens = materialize(_tokens(sets.where("over")), "tokens")
     often = tokens.groupBy("token").agg(F.count("*").alias("often"))
     order = W.partitionBy("node").orderBy("often", "token")
     prefix = tokens.join(often, "token").withColumn("place", F.row_number().over(order))
@@ -524,8 +550,7 @@ def components(docs: DataFrame, with_classes: bool = False) -> DataFrame:
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
-    both_ends = links.select("a").unionByName(links.select(F.col("b").alias("a")))
-    degree = both_ends.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
+    degree = _ends(links).groupBy("node").agg(F.count("*").alias("n_links"))
     smallest = labels.join(nodes.select("node", "doc_id"), "node").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     info = nodes.select("node", "doc_id").join(labels, "node", "left").join(smallest, "label", "left").join(degree, "node", "left")
     info = info.select(

@@ -100,6 +100,29 @@ def test_jaccard_join_with_hot_groups_and_shared_passages(make, monkeypatch):
     assert joined(make, texts) == classes_of(texts)
 
 
+def test_tokens_are_stored_of_sets_left_by_the_sketches_and_stay_where_they_are(make, monkeypatch):
+    """Sets that only meet in the keys of a passage many texts have do not have their tokens stored."""
+    monkeypatch.setattr(jac, "HOT", 4)
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    texts = {i: " ".join(passage + [str(rng.randrange(10**9)) for _ in range(120)]) for i in range(60)}
+    texts[60] = texts[59] + " one more"
+    same, stored = jac.materialize, {}
+
+    def watched(df, name):
+        if name == "tokens":
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and "Exchange" not in plan
+        stored.setdefault(name, []).append(out := same(df, name))
+        return out
+
+    monkeypatch.setattr(jac, "materialize", watched)
+    assert joined(make, texts) == classes_of(texts)
+    met = stored["wanted"][0].select("node").distinct().count()
+    left = stored["sets"][-1]
+    assert met > 20 and left.where("not over").count() <= 2 and left.count() < met
+
+
 def test_jaccard_join_of_no_and_repeated_rows(spark, make):
     assert jac.components(make([], "doc_id long, text string")).count() == 0
     docs = make([(2, "a b c d e f"), (2, "a b c d e f"), (1, "A b c d e f"), (None, None)], "doc_id long, text string")
