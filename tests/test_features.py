@@ -263,3 +263,36 @@ def test_given_pairs_are_packed(spark, make, monkeypatch, sent, size):
                 assert any("item_id#" in e and "__salt" in e for e in on)
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("sent", [True, False])
+@pytest.mark.parametrize("by_customer", [True, False])
+def test_candidate_features_move_pairs_once_at_most(spark, make, monkeypatch, by_customer, sent):
+    """Pairs made by customer stay where they are, others are not packed; frequent items are sent, rare ones looked up."""
+    monkeypatch.setattr(X, "FREQUENT", 4)
+    pairs, recent, hist, items = _given_pairs(make)
+    recent = recent.where("customer_id IS NOT NULL AND item_id IS NOT NULL")
+    if by_customer:
+        pairs = X.training_candidates(hist, recent, items, top_n=1, max_per_customer=2, by_customer=True)
+        plain = X.training_candidates(hist, recent, items, top_n=1, max_per_customer=2)
+        assert rows_of(pairs) == rows_of(plain)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, before if sent else "-1")
+    try:
+        counts = hist.join(items, "item_id", "left")
+        joined = pairs.join(items, "item_id", "left")
+        for a, x in zip(X.ATTRIBUTES, config.FEATURE_COLUMNS[:3], strict=True):
+            n = counts.groupBy("customer_id", a).agg(F.count("*").alias(x))
+            joined = joined.join(n, ["customer_id", a], "left")
+        wanted = joined.select("customer_id", "item_id", *[F.coalesce(x, F.lit(0)).alias(x) for x in config.FEATURE_COLUMNS[:3]])
+        found = X.candidate_features(pairs, hist, items)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        order = lambda df: sorted(map(str, df.collect()))
+        assert order(found) == order(wanted)
+        assert "collect_list" not in text
+        on = re.findall(r"Exchange hashpartitioning\((.*), \d+\),", text)
+        if by_customer and sent:
+            assert "Bucketed: true" in text and len(on) == 1  # the customers' maps
+    finally:
+        spark.conf.set(key, before)
