@@ -296,3 +296,17 @@ def test_candidate_features_move_pairs_once_at_most(spark, make, monkeypatch, by
             assert "Bucketed: true" in text and len(on) == 1  # the customers' maps
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("size", [4096, 1])
+def test_labels_of_pairs_made_by_customer(make, monkeypatch, size):
+    """Such pairs are labelled where they are; with lists that have to be cut they are packed."""
+    monkeypatch.setattr(X, "LIST", size)
+    _, recent, hist, items = _given_pairs(make)
+    pairs = X.training_candidates(hist, recent, items, top_n=1, max_per_customer=2, by_customer=True)
+    y = X.labels(recent)
+    wanted = pairs.join(y, ["customer_id", "item_id"], "left").select(*pairs.columns, F.coalesce("Y", F.lit(0)).alias("Y"))
+    found = X.label_candidates(pairs, recent)
+    packed = "collect_list" in found._jdf.queryExecution().executedPlan().toString()
+    assert packed == (size == 1)
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
