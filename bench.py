@@ -2,7 +2,7 @@
 
 Each query runs three times over the whole tables into a sink that discards the rows;
 the median counts. Queries that fit a model run once: a fit takes far longer than
-compiling, and uses the operators' own rounds and depths on at most FIT_ROWS rows. BENCH_SF_DIR and BENCH_CPUS choose
+compiling, and uses the operators' own rounds and depths on all rows. BENCH_SF_DIR and BENCH_CPUS choose
 the tables and the cores.
 """
 
