@@ -49,6 +49,24 @@ def test_fits_learn_from_all_rows(spark, many, tmp_path, monkeypatch, name, kind
     assert learned_from(spark, model, tmp_path / "model") == pytest.approx(ROWS * share, rel=0.02)
 
 
+def _train_all_quickly(monkeypatch, many):
+    quick = {"logistic": {"maxIter": 3}, "random_forest": {"numTrees": 3, "maxDepth": 2}}
+    quick |= dict.fromkeys(("xgboost", "lightgbm"), {"maxIter": 2, "maxDepth": 2})
+    monkeypatch.setattr(registry, "staged_features", lambda *_: many)
+    for kind, params in quick.items():
+        monkeypatch.setitem(models._DEFAULTS, kind, {**models._DEFAULTS[kind], **params})
+
+
+def test_train_all_learns_from_all_rows(spark, many, tmp_path, monkeypatch):
+    _train_all_quickly(monkeypatch, many)
+    fitted = []
+    rank = models.predict_and_rank
+    monkeypatch.setattr(models, "predict_and_rank", lambda model, *a, **k: fitted.append(model) or rank(model, *a, **k))
+    assert [r.error for r in registry.train_all(spark, "nowhere").collect()] == [None] * 24
+    found = sorted(learned_from(spark, m, tmp_path / str(i)) / ROWS for i, m in enumerate(fitted))
+    assert found == pytest.approx([0.8, 0.8, 1, 1], rel=0.02)
+
+
 def test_training_accuracy_is_of_a_fit_on_all_rows(spark, many, monkeypatch):
     monkeypatch.setattr(registry, "staged_features", lambda *_: many)
     fitted = []
